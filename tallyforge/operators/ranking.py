@@ -34,22 +34,26 @@ def label_lists(lists: DataFrame, held_out: DataFrame) -> DataFrame:
     return labelled.withColumn("label", F.coalesce("_hit", F.lit(0.0))).drop("_hit")
 
 
-def _area(above: Column, hits: Column, misses: Column, last: Column, mode: str) -> Column:
-    """AUC from ``above``, the hits above each miss summed over the misses.
-
-    ``stepwise`` is the value of walking down the list row by row and taking the
-    mean of the hit counts at this miss and the one before; ``exact`` is the
-    plain share of ordered pairs.  ``last`` counts the hits above the last miss.
+def _areas(above: Column, last: Column) -> list[Column]:
+    """Both AUC definitions from ``hits``, ``misses`` and two sums.
+
+    ``above`` is the number of hits above a miss, summed over the misses, and
+    ``last`` the hits above the last miss.  ``exact`` is the share of ordered
+    (hit, miss) pairs; ``stepwise`` walks down the list and takes at each miss
+    the mean of the hit counts there and at the miss before.  Both are 0.5 for a
+    list without hits or without misses.
     """
-    if mode not in ("stepwise", "exact"):
-        raise ValueError("mode is 'stepwise' or 'exact'")
-    numerator = above - last / 2 if mode == "stepwise" else above
-    both = (hits > 0) & (misses > 0)
-    return F.when(both, numerator / (hits.cast("double") * misses)).otherwise(F.lit(0.5))
+    hits, misses = F.col("hits"), F.col("misses")
+    pairs_ = hits.cast("double") * misses
+
+    def guarded(numerator: Column) -> Column:
+        return F.when((hits > 0) & (misses > 0), numerator / pairs_).otherwise(F.lit(0.5))
 
+    return [guarded(above - last / 2).alias("stepwise"), guarded(above).alias("exact")]
 
-def list_auc(labelled: DataFrame, mode: str = "stepwise") -> DataFrame:
-    """AUC of every user's list; lists are short (top k), ties go by item."""
+
+def list_auc(labelled: DataFrame) -> DataFrame:
+    """Stepwise and exact AUC of every user's list; lists are short (top k), ties go by item."""
     order = Window.partitionBy("user").orderBy(F.col("score").desc(), "item")
     miss = F.col("label") == 0
     per_user = (
@@ -62,13 +66,12 @@ def list_auc(labelled: DataFrame, mode: str = "stepwise") -> DataFrame:
             F.max(F.when(miss, F.col("_rank"))).alias("_last"),
         )
     )
-    hits, misses = F.col("hits"), F.col("misses")
+    misses = F.col("misses")
     above = F.col("_sum") - misses * (misses + 1) / 2
-    auc = _area(above, hits, misses, F.col("_last") - misses, mode)
-    return per_user.select("user", "hits", "misses", auc.alias("auc"))
+    return per_user.select("user", "hits", "misses", *_areas(above, F.col("_last") - misses))
 
 
-def shared_list_auc(held_out: DataFrame, top: DataFrame, mode: str = "stepwise") -> DataFrame:
+def shared_list_auc(held_out: DataFrame, top: DataFrame) -> DataFrame:
     """``list_auc`` of one short list ``(item, rank)`` given to every user, from its hits only.
 
     Emits no row per user and listed item: the held-out pairs meet the listed
@@ -85,17 +88,16 @@ def shared_list_auc(held_out: DataFrame, top: DataFrame, mode: str = "stepwise")
         F.count(F.lit(1)).over(mine).alias("hits"),
         size.alias("_size"),
     ).withColumn("misses", F.col("_size") - F.col("hits"))
-    hits, misses, misses_above = F.col("hits"), F.col("misses"), F.col("_misses_above")
+    misses, misses_above = F.col("misses"), F.col("_misses_above")
     per_user = placed.groupBy("user", "hits", "misses").agg(
         F.sum(misses - misses_above).alias("_above"),
         F.count_if(misses_above < misses).alias("_last"),
     )
-    auc = _area(F.col("_above"), hits, misses, F.col("_last"), mode)
-    return per_user.select("user", "hits", "misses", auc.alias("auc"))
+    return per_user.select("user", "hits", "misses", *_areas(F.col("_above"), F.col("_last")))
 
 
-def pooled_auc(labelled: DataFrame, mode: str = "stepwise", by: list[str] | None = None) -> DataFrame:
-    """AUC of all users' lists in one ranking, ties by user then item.
+def pooled_auc(labelled: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Stepwise and exact AUC of all users' lists in one ranking, ties by user then item.
 
     The ranking is cut into stored ranges; each range is ranked on its own and
     the range totals are put together afterwards.
@@ -128,11 +130,10 @@ def pooled_auc(labelled: DataFrame, mode: str = "stepwise", by: list[str] | None
             F.max(F.col("_last") + F.col("_before")).alias("_last"),
         )
     )
-    hits, misses = F.col("hits"), F.col("misses")
+    misses = F.col("misses")
     below = misses.cast("decimal(38,0)") * (misses + 1) / 2
     above = (F.col("_sum") - below).cast("double")
-    auc = _area(above, hits, misses, F.col("_last") - misses, mode)
-    return whole.select(*by, "hits", "misses", auc.alias("auc"))
+    return whole.select(*by, "hits", "misses", *_areas(above, F.col("_last") - misses))
 
 
 def rank_metrics(per_user: DataFrame, held_out: DataFrame) -> DataFrame:
@@ -160,14 +161,18 @@ def eligible(per_user: DataFrame) -> DataFrame:
 
 def macro_auc(per_user: DataFrame, empty: float | None = None) -> DataFrame:
     """Mean AUC of the eligible users and how many they are; ``empty`` if there are none."""
-    mean = F.avg("auc")
-    if empty is not None:
-        mean = F.coalesce(mean, F.lit(float(empty)))
-    return eligible(per_user).agg(F.count(F.lit(1)).alias("n_users"), mean.alias("mean_auc"))
+
+    def mean(column: str) -> Column:
+        value = F.avg(column)
+        return (value if empty is None else F.coalesce(value, F.lit(float(empty)))).alias(column)
+
+    return eligible(per_user).agg(
+        F.count(F.lit(1)).alias("n_users"), mean("stepwise"), mean("exact")
+    )
 
 
-def macro_rank_metrics(labelled: DataFrame, held_out: DataFrame, mode: str = "stepwise") -> DataFrame:
+def macro_rank_metrics(labelled: DataFrame, held_out: DataFrame) -> DataFrame:
     """Means over eligible users of AUC, precision, recall and Jaccard; NULL without any."""
-    judged = rank_metrics(eligible(list_auc(labelled, mode)), held_out)
-    means = [F.avg(c).alias(c) for c in ("auc", "precision", "recall", "jaccard")]
+    judged = rank_metrics(eligible(list_auc(labelled)), held_out)
+    means = [F.avg(c).alias(c) for c in ("stepwise", "exact", "precision", "recall", "jaccard")]
     return judged.agg(F.count(F.lit(1)).alias("n_users"), *means)

@@ -105,6 +105,11 @@ def train_validate(
 
 
 def _search(train, cuts, prepare, estimator, points, evaluator, parallelism, canonical) -> Search:
+    with _kept(train):
+        return _search_kept(train, cuts, prepare, estimator, points, evaluator, parallelism, canonical)
+
+
+def _search_kept(train, cuts, prepare, estimator, points, evaluator, parallelism, canonical) -> Search:
     first = first_equals(points, canonical)
     rows = []
     for fold, in_train in cuts:

@@ -18,8 +18,8 @@ from tallyforge.functions.scalar import rank_line
 from tallyforge.operators import features, metrics, ranking, relational as rel, splits
 from tallyforge.plans import fixtures as fx
 from tallyforge.plans import model_queries
-from tallyforge.sources.delimited import parse_alias, parse_dimension, parse_facts
-from tallyforge.sources.fixed_width import parse_fixed_width
+from tallyforge.sources.delimited import read_alias, read_dimension, read_facts
+from tallyforge.sources.fixed_width import read_fixed_width
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,31 +32,31 @@ def _count_by(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def parse_fixed_width_records(spark, sf_dir):
-    return parse_fixed_width(fx.weather_lines(spark, sf_dir)).good
+    return read_fixed_width(spark, fx.weather_files(spark, sf_dir)).good
 
 
 def fixed_width_rejects(spark, sf_dir):
-    return _count_by(parse_fixed_width(fx.weather_lines(spark, sf_dir)).rejects, "reason")
+    return _count_by(read_fixed_width(spark, fx.weather_files(spark, sf_dir)).rejects, "reason")
 
 
 def parse_dimension_lenient(spark, sf_dir):
-    return parse_dimension(fx.dimension_lines(spark, sf_dir)).good
+    return read_dimension(spark, fx.dimension_files(spark, sf_dir)).good
 
 
 def dimension_rejects(spark, sf_dir):
-    return parse_dimension(fx.dimension_lines(spark, sf_dir)).rejects
+    return read_dimension(spark, fx.dimension_files(spark, sf_dir)).rejects
 
 
 def parse_alias_lines(spark, sf_dir):
-    return parse_alias(fx.alias_lines(spark, sf_dir)).good
+    return read_alias(spark, fx.alias_files(spark, sf_dir)).good
 
 
 def parse_fact_lines(spark, sf_dir):
-    return parse_facts(fx.fact_lines(spark, sf_dir)).good
+    return read_facts(spark, fx.fact_files(spark, sf_dir)).good
 
 
 def fact_rejects(spark, sf_dir):
-    return _count_by(parse_facts(fx.fact_lines(spark, sf_dir)).rejects, "reason")
+    return _count_by(read_facts(spark, fx.fact_files(spark, sf_dir)).rejects, "reason")
 
 
 def load_shape(spark, sf_dir):
@@ -305,43 +305,39 @@ def label_lists(spark, sf_dir):
     return _labelled_popular(spark, sf_dir)[0]
 
 
+def _list_areas(spark, sf_dir):
+    return ranking.list_auc(_labelled_popular(spark, sf_dir)[0])
+
+
 def list_auc_stepwise(spark, sf_dir):
-    return fx.rounded(ranking.list_auc(_labelled_popular(spark, sf_dir)[0]), 9, "auc")
+    return fx.rounded(_list_areas(spark, sf_dir).drop("exact"), 9, "stepwise")
 
 
 def list_auc_exact(spark, sf_dir):
-    return fx.rounded(ranking.list_auc(_labelled_popular(spark, sf_dir)[0], "exact"), 9, "auc")
+    return fx.rounded(_list_areas(spark, sf_dir).drop("stepwise"), 9, "exact")
 
 
 def pooled_auc(spark, sf_dir):
-    return fx.rounded(ranking.pooled_auc(_labelled_popular(spark, sf_dir)[0]), 9, "auc")
-
-
-def pooled_auc_exact(spark, sf_dir):
-    return fx.rounded(ranking.pooled_auc(_labelled_popular(spark, sf_dir)[0], "exact"), 9, "auc")
+    return fx.rounded(ranking.pooled_auc(_labelled_popular(spark, sf_dir)[0]), 9, "stepwise", "exact")
 
 
 def rank_metrics_at_k(spark, sf_dir):
     labelled, test = _labelled_popular(spark, sf_dir)
     found = ranking.rank_metrics(ranking.list_auc(labelled), test)
-    return fx.rounded(found, 9, "auc", "precision", "recall", "jaccard")
+    return fx.rounded(found, 9, "stepwise", "exact", "precision", "recall", "jaccard")
 
 
 def popular_macro_metrics(spark, sf_dir):
     labelled, test = _labelled_popular(spark, sf_dir)
     found = ranking.macro_rank_metrics(labelled, test)
-    return fx.rounded(found, 8, "auc", "precision", "recall", "jaccard")
+    return fx.rounded(found, 8, "stepwise", "exact", "precision", "recall", "jaccard")
 
 
 def popular_macro_auc(spark, sf_dir):
     """Active users, per-user split, popular list, stepwise and exact AUC, macro means."""
     _, test = _train_test(spark, sf_dir)
-    per_user = {m: ranking.shared_list_auc(test, _top(spark, sf_dir), m) for m in ("stepwise", "exact")}
-    means = None
-    for mode, aucs in per_user.items():
-        mean = ranking.macro_auc(aucs, empty=0.0).select(F.lit(mode).alias("mode"), "n_users", "mean_auc")
-        means = mean if means is None else means.unionByName(mean)
-    return fx.rounded(means, 8, "mean_auc")
+    per_user = ranking.shared_list_auc(test, _top(spark, sf_dir))
+    return fx.rounded(ranking.macro_auc(per_user, empty=0.0), 8, "stepwise", "exact")
 
 
 # --- models with a closed form -----------------------------------------------
@@ -405,7 +401,6 @@ QUERIES: dict[str, Query] = {
     "list_auc_stepwise": list_auc_stepwise,
     "list_auc_exact": list_auc_exact,
     "pooled_auc": pooled_auc,
-    "pooled_auc_exact": pooled_auc_exact,
     "rank_metrics_at_k": rank_metrics_at_k,
     "popular_macro_metrics": popular_macro_metrics,
     "ols_one_feature": ols_one_feature,

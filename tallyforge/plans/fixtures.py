@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyforge.functions.hashing import bucket
+from tallyforge.session import intermediate_path
 
 ROW_KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 FACT_KEYS = ["order", "item", "supplier", "line"]
@@ -100,6 +101,13 @@ def judged_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def write_lines(lines: DataFrame, label: str) -> str:
+    """Write lines as compressed text files and give a glob that matches them."""
+    path = intermediate_path(lines.sparkSession, label)
+    lines.write.option("compression", "gzip").text(path)
+    return f"{path}/part-*"
+
+
 def weather_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The integers that go into a record, and which records are damaged."""
     whole = lambda e: e.cast("int")
@@ -125,8 +133,8 @@ def weather_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def weather_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fixed-width records, some without temperature, cut short or with a bad year."""
+def weather_files(spark: SparkSession, sf_dir: str) -> str:
+    """Files of fixed-width records, some without temperature, cut short or with a bad year."""
     year = F.format_string("%04d", "year")
     air = F.format_string("%+05d", "air")
     record = F.concat(
@@ -152,11 +160,11 @@ def weather_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("1"),
     )
     line = F.when(F.col("cut_short"), F.substring(record, 1, 95)).otherwise(record)
-    return weather_numbers(spark, sf_dir).select(*ROW_KEYS, line.alias("value"))
+    return write_lines(weather_numbers(spark, sf_dir).select(line.alias("value")), "weather")
 
 
-def fact_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``user item count`` lines, some with two tokens, a bad count or a trailing blank."""
+def fact_files(spark: SparkSession, sf_dir: str) -> str:
+    """Files of ``user item count`` lines, some with two tokens, a bad count or a trailing blank."""
     triple = F.format_string("%d %d %d", "o_custkey", "l_partkey", F.col("l_quantity").cast("int"))
     line = (
         F.when(F.col("l_tax") == 0.08, F.format_string("%d %d", "o_custkey", "l_partkey"))
@@ -164,11 +172,11 @@ def fact_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("l_discount") == 0, F.concat(triple, F.lit(" ")))
         .otherwise(triple)
     )
-    return ordered_lines(spark, sf_dir).select(line.alias("value"))
+    return write_lines(ordered_lines(spark, sf_dir).select(line.alias("value")), "facts")
 
 
-def dimension_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``id<TAB>name`` lines with missing tabs, bad ids, blank names and second tabs."""
+def dimension_files(spark: SparkSession, sf_dir: str) -> str:
+    """Files of ``id<TAB>name`` lines with missing tabs, bad ids, blank names and second tabs."""
     key, name, size = F.col("p_partkey").cast("string"), F.col("p_name"), F.col("p_size")
     line = (
         F.when(size == 1, F.concat(key, F.lit(" "), name))
@@ -177,14 +185,15 @@ def dimension_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(size == 4, F.concat(key, F.lit("\t"), name, F.lit("\t"), F.col("p_brand")))
         .otherwise(F.concat(key, F.lit("\t "), name, F.lit(" ")))
     )
-    return table(spark, sf_dir, "part").select(line.alias("value"))
+    return write_lines(table(spark, sf_dir, "part").select(line.alias("value")), "names")
 
 
-def alias_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``bad<TAB>good`` lines, some without the first or the second id."""
+def alias_files(spark: SparkSession, sf_dir: str) -> str:
+    """Files of ``bad<TAB>good`` lines, some without the first or the second id."""
     bad = F.when(F.col("p_size") == 1, F.lit("")).otherwise(F.col("bad_id").cast("string"))
     good = F.when(F.col("p_size") == 2, F.lit("")).otherwise(F.col("good_id").cast("string"))
-    return aliases(spark, sf_dir).select(F.concat(bad, F.lit("\t"), good).alias("value"))
+    lines = aliases(spark, sf_dir).select(F.concat(bad, F.lit("\t"), good).alias("value"))
+    return write_lines(lines, "aliases")
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:

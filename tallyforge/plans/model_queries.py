@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyforge.operators import factors, tuning
 from tallyforge.plans import fixtures as fx, recommender, survey, weather
-from tallyforge.sources.fixed_width import parse_fixed_width
+from tallyforge.sources.fixed_width import read_fixed_width
 
 SMALL_TREES = tuning.grid(impurity=["entropy", "gini"], maxDepth=[4, 6], maxBins=[32])
 SMALL_FORESTS = tuning.grid(impurity=["gini"], maxDepth=[4, 6], maxBins=[32], numTrees=[5])
@@ -34,12 +34,12 @@ def rf_multiclass_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lr_tvs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = parse_fixed_width(fx.weather_lines(spark, sf_dir)).good
-    return weather.linear_study(records, **YEARS, keys=fx.ROW_KEYS, parallelism=4).report
+    records = read_fixed_width(spark, fx.weather_files(spark, sf_dir)).good
+    return weather.linear_study(records, **YEARS, parallelism=4).report
 
 
 def rf_regress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = parse_fixed_width(fx.weather_lines(spark, sf_dir)).good
+    records = read_fixed_width(spark, fx.weather_files(spark, sf_dir)).good
     return weather.forest_study(records, **YEARS).report
 
 
@@ -54,7 +54,7 @@ def als_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def als_test_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = _prepared(spark, sf_dir)
-    return factors.test_metrics(factors.fit_als(data.train), data.test)
+    return factors.held_out_metrics(factors.fit_als(data.train), data.test)
 
 
 def als_search(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,9 +33,9 @@ def prepare(facts: DataFrame, keys: list[str], min_items: int, top: int, seed: i
     return Prepared(facts, train, test, rel.most_popular(facts, top))
 
 
-def baseline(data: Prepared, mode: str = "stepwise") -> DataFrame:
+def baseline(data: Prepared) -> DataFrame:
     """Macro AUC of the most-popular list; 0.0 without an eligible user."""
-    return ranking.macro_auc(ranking.shared_list_auc(data.test, data.popular, mode), empty=0.0)
+    return ranking.macro_auc(ranking.shared_list_auc(data.test, data.popular), empty=0.0)
 
 
 def new_user_report(data: Prepared, names: DataFrame, point: dict, **options) -> DataFrame:
@@ -76,7 +76,7 @@ def main() -> None:
     )
     tuning.ranked_points(table).show(truncate=False)
     print("best parameters:", best)
-    metrics.metric_rows(factors.test_metrics(model, data.test, args.top)).show()
+    metrics.metric_rows(factors.held_out_metrics(model, data.test, args.top)).show()
     names = delimited.read_dimension(spark, args.names).good
     new_user_report(data, names, best).orderBy("rank").select("line").show(25, truncate=False)
     spark.stop()

@@ -24,6 +24,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def intermediate_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark)}/tallyforge/{label}-{uuid.uuid4().hex}"
+
+
 def write_intermediate(df: DataFrame, label: str) -> DataFrame:
     """Write once to the shared folder and read back, which cuts the lineage.
 
@@ -31,6 +36,6 @@ def write_intermediate(df: DataFrame, label: str) -> DataFrame:
     executors are lost later.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tallyforge/{label}-{uuid.uuid4().hex}"
+    path = intermediate_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
