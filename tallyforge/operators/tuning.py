@@ -124,7 +124,7 @@ def _search_kept(train, cuts, prepare, estimator, points, evaluator, parallelism
                 return evaluator.evaluate(model.transform(check_rows))
 
             distinct = sorted(set(first))
-            found = dict(zip(distinct, _map_threads(score, distinct, parallelism)))
+            found = dict(zip(distinct, map_threads(train.sparkSession, score, distinct, parallelism)))
         rows += [(i, fold, float(found[first[i]]), *p.values()) for i, p in enumerate(points)]
 
     metrics = metrics_table(train.sparkSession, rows, points)
@@ -174,10 +174,10 @@ def _param_map(estimator: Estimator, point: Point) -> dict:
     return {estimator.getParam(name): value for name, value in point.items()}
 
 
-def _map_threads(task: Callable, items: list, parallelism: int) -> list:
+def map_threads(session: SparkSession, task: Callable, items: list, parallelism: int) -> list:
     """Run Spark jobs from a few driver threads at a time, results in order."""
     with ThreadPool(min(parallelism, len(items))) as pool:
-        return pool.map(inheritable_thread_target(task), items)
+        return pool.map(inheritable_thread_target(session)(task), items)
 
 
 class _kept:
