@@ -6,18 +6,19 @@ import math
 
 from pyspark.sql import Column, functions as F
 
-INT_TEXT = r"^[+-]?[0-9]+$"
-NUMBER_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-
 
 def strict_int(text: Column, dtype: str = "int") -> Column:
-    """Integer text with optional sign; anything else, blanks included, is NULL."""
-    return F.when(text.rlike(INT_TEXT), text.try_cast(dtype))
+    """Integer text with optional sign; anything else, outer blanks included, is NULL.
+
+    The cast alone would let blanks pass, so both ends are looked at first.
+    """
+    ends = F.left(text, F.lit(1)).between("+", "9") & F.right(text, F.lit(1)).between("0", "9")
+    return F.when(ends, text.try_cast(dtype))
 
 
 def strict_double(text: Column) -> Column:
-    """Decimal text with optional sign and exponent; anything else is NULL."""
-    return F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
+    """Decimal text; anything else is NULL."""
+    return text.try_cast("double")
 
 
 def trim_control(text: Column) -> Column:

@@ -82,7 +82,7 @@ def cross_validate(
     canonical: Callable[[Point], Point] | None = None,
 ) -> Search:
     """k-fold search; the winner is fitted again on all of ``train``."""
-    numbered = assign_folds(train, keys, folds, seed)
+    numbered = assign_folds(spread(train, keys), keys, folds, seed)
     cuts = [(k, F.col("fold") != k) for k in range(folds)]
     return _search(numbered, cuts, prepare, estimator, points, evaluator, parallelism, canonical)
 
@@ -101,15 +101,15 @@ def train_validate(
 ) -> Search:
     """Search on one train/validation cut; the winner is fitted again on all of ``train``."""
     cuts = [(0, bucket("validation", seed, 100, *keys) < train_percent)]
-    return _search(train, cuts, prepare, estimator, points, evaluator, parallelism, canonical)
+    return _search(spread(train, keys), cuts, prepare, estimator, points, evaluator, parallelism, canonical)
 
 
 def _search(train, cuts, prepare, estimator, points, evaluator, parallelism, canonical) -> Search:
-    with _kept(train):
-        return _search_kept(train, cuts, prepare, estimator, points, evaluator, parallelism, canonical)
+    with kept(train):
+        return _searchkept(train, cuts, prepare, estimator, points, evaluator, parallelism, canonical)
 
 
-def _search_kept(train, cuts, prepare, estimator, points, evaluator, parallelism, canonical) -> Search:
+def _searchkept(train, cuts, prepare, estimator, points, evaluator, parallelism, canonical) -> Search:
     first = first_equals(points, canonical)
     rows = []
     for fold, in_train in cuts:
@@ -117,7 +117,7 @@ def _search_kept(train, cuts, prepare, estimator, points, evaluator, parallelism
         wanted = [estimator.getFeaturesCol(), estimator.getLabelCol()]
         fit_rows = fitted.transform(train.filter(in_train)).select(*wanted)
         check_rows = fitted.transform(train.filter(~in_train)).select(*wanted)
-        with _kept(fit_rows), _kept(check_rows):
+        with kept(fit_rows), kept(check_rows):
 
             def score(number: int) -> float:
                 model = estimator.copy(_param_map(estimator, points[number])).fit(fit_rows)
@@ -131,11 +131,19 @@ def _search_kept(train, cuts, prepare, estimator, points, evaluator, parallelism
     number, value = best_point(metrics, evaluator.isLargerBetter())
     winner = estimator.copy(_param_map(estimator, points[number]))
     prepared = Pipeline(stages=prepare).fit(train)
-    with _kept(prepared.transform(train).select(*wanted)) as fit_rows:
+    with kept(prepared.transform(train).select(*wanted)) as fit_rows:
         final = winner.fit(fit_rows)
     return Search(metrics, points[number], value, PipelineModel([*prepared.stages, final]))
 
 
+def spread(train: DataFrame, keys: list[str]) -> DataFrame:
+    """Even partitions by row key, in key order: one shuffle for the many passes of the fits.
+
+    Tree fits sample rows by their place, so a fixed order makes them repeatable.
+    """
+    return train.repartition(*keys).sortWithinPartitions(*keys)
+
+
 def metrics_table(spark: SparkSession, rows: list[tuple], points: list[Point]) -> DataFrame:
     """One row per grid point and fold."""
     return spark.createDataFrame(rows, ["point", "fold", "metric", *points[0]])
@@ -180,7 +188,7 @@ def map_threads(session: SparkSession, task: Callable, items: list, parallelism:
         return pool.map(inheritable_thread_target(session)(task), items)
 
 
-class _kept:
+class kept:
     """Keep a DataFrame in memory and on disk for the length of a ``with`` block."""
 
     def __init__(self, df: DataFrame):

@@ -102,9 +102,9 @@ def judged_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_lines(lines: DataFrame, label: str) -> str:
-    """Write lines as compressed text files and give a glob that matches them."""
+    """Write lines as text files and give a glob that matches them."""
     path = intermediate_path(lines.sparkSession, label)
-    lines.write.option("compression", "gzip").text(path)
+    lines.write.text(path)
     return f"{path}/part-*"
 
 
@@ -135,28 +135,34 @@ def weather_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def weather_files(spark: SparkSession, sf_dir: str) -> str:
     """Files of fixed-width records, some without temperature, cut short or with a bad year."""
-    year = F.format_string("%04d", "year")
-    air = F.format_string("%+05d", "air")
+
+    def digits(name: str, width: int) -> Column:
+        return F.lpad(F.col(name).cast("string"), width, "0")
+
+    def signed(name: str, width: int) -> Column:
+        sign = F.when(F.col(name) < 0, "-").otherwise("+")
+        return F.concat(sign, F.lpad(F.abs(name).cast("string"), width - 1, "0"))
+
     record = F.concat(
         F.lit("0" * 15),
-        F.when(F.col("bad_year"), F.lit("19x5")).otherwise(year),
-        F.format_string("%02d%02d%02d", "month", "day", "hour"),
+        F.when(F.col("bad_year"), F.lit("19x5")).otherwise(digits("year", 4)),
+        digits("month", 2), digits("day", 2), digits("hour", 2),
         F.lit("004"),
-        F.format_string("%+06d%+07d", "latitude", "longitude"),
+        signed("latitude", 6), signed("longitude", 7),
         F.lit("FM-15"),
-        F.format_string("%+05d", "elevation"),
+        signed("elevation", 5),
         F.lit("99999V020"),
-        F.format_string("%03d", "direction"),
+        digits("direction", 3),
         F.lit("1N"),
-        F.format_string("%04d", "speed"),
+        digits("speed", 4),
         F.lit("1"),
-        F.format_string("%05d", "ceiling"),
+        digits("ceiling", 5),
         F.lit("1CN"),
-        F.format_string("%06d", "distance"),
+        digits("distance", 6),
         F.lit("1N9"),
-        F.when(F.col("no_air"), F.lit("+9999")).otherwise(air),
+        F.when(F.col("no_air"), F.lit("+9999")).otherwise(signed("air", 5)),
         F.lit("1"),
-        F.format_string("%+05d", "dew"),
+        signed("dew", 5),
         F.lit("1"),
     )
     line = F.when(F.col("cut_short"), F.substring(record, 1, 95)).otherwise(record)
@@ -165,9 +171,9 @@ def weather_files(spark: SparkSession, sf_dir: str) -> str:
 
 def fact_files(spark: SparkSession, sf_dir: str) -> str:
     """Files of ``user item count`` lines, some with two tokens, a bad count or a trailing blank."""
-    triple = F.format_string("%d %d %d", "o_custkey", "l_partkey", F.col("l_quantity").cast("int"))
+    triple = F.concat_ws(" ", "o_custkey", "l_partkey", F.col("l_quantity").cast("int"))
     line = (
-        F.when(F.col("l_tax") == 0.08, F.format_string("%d %d", "o_custkey", "l_partkey"))
+        F.when(F.col("l_tax") == 0.08, F.concat_ws(" ", "o_custkey", "l_partkey"))
         .when(F.col("l_quantity") == 50, F.concat(triple, F.lit("x")))
         .when(F.col("l_discount") == 0, F.concat(triple, F.lit(" ")))
         .otherwise(triple)

@@ -70,9 +70,9 @@ def forest_study(
         featuresCol="features", labelCol=TARGET, numTrees=10, featureSubsetStrategy="auto",
         maxDepth=8, maxBins=32, subsamplingRate=0.7, seed=seed,
     )
-    model = Pipeline(stages=[*assembled_stages(FOREST_FEATURES), forest]).fit(
-        rows.filter("split = 'train'")
-    )
+    keys = [f.name for f in WEATHER_LAYOUT]
+    with tuning.kept(tuning.spread(rows.filter("split = 'train'"), keys)) as train_rows:
+        model = Pipeline(stages=[*assembled_stages(FOREST_FEATURES), forest]).fit(train_rows)
     return Study(model, _report(model, rows), None)
 
 
