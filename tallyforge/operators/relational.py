@@ -31,8 +31,10 @@ def with_names(df: DataFrame, names: DataFrame, item: str = "item") -> DataFrame
 
 
 def active_users(facts: DataFrame, min_items: int) -> DataFrame:
-    """Users with at least ``min_items`` distinct items, and how many they have."""
-    per_user = facts.groupBy("user").agg(F.countDistinct("item").alias("n_items"))
+    """Users with at least ``min_items`` distinct items, with their item and row counts."""
+    per_user = facts.groupBy("user").agg(
+        F.countDistinct("item").alias("n_items"), F.count(F.lit(1)).alias("n_rows")
+    )
     return per_user.filter(F.col("n_items") >= min_items)
 
 

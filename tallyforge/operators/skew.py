@@ -15,20 +15,24 @@ MAX_SPLIT_GROUPS = 4096
 MIN_SPLIT_ROWS = 1_000_000
 
 
+def group_sizes(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``(keys, _rows)``: rows per group, counted before the shuffle."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+
+
 def big_groups(
-    df: DataFrame,
+    sizes: DataFrame,
     keys: list[str],
     min_rows: int = MIN_SPLIT_ROWS,
     max_groups: int = MAX_SPLIT_GROUPS,
 ) -> DataFrame:
-    """``(keys, _rows, _ranges)`` of the groups worth cutting.
+    """``(keys, _rows, _ranges)`` of the groups worth cutting, from their sizes.
 
     At most ``max_groups`` rows, whatever the input: a group that is not among
     the ``max_groups`` biggest holds less than ``1/max_groups`` of all rows and
     needs no cutting.  The ranges of all groups together number at most
     ``2 * max_groups``, so both tables are small enough to broadcast.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     biggest = (
         sizes.filter(F.col("_rows") >= min_rows)
         .orderBy(F.col("_rows").desc(), *keys)
@@ -45,16 +49,22 @@ def hash_ranks(
     keys: list[str],
     digest: Column,
     ties: list[str],
+    sizes: DataFrame | None = None,
     min_rows: int = MIN_SPLIT_ROWS,
     max_groups: int = MAX_SPLIT_GROUPS,
 ) -> DataFrame:
-    """Add ``rank`` (1-based, by ``digest`` then ``ties``) and ``group_rows`` per group."""
-    hot = F.broadcast(big_groups(df, keys, min_rows, max_groups))
+    """Add ``rank`` (1-based, by ``digest`` then ``ties``) and ``group_rows`` per group.
+
+    Reads ``df`` up to three times (group sizes unless given, sizes of the cut
+    ranges, ranks): hand in a stored table rather than a long computation.
+    """
+    sizes = group_sizes(df, keys) if sizes is None else sizes
+    hot = F.broadcast(big_groups(sizes, keys, min_rows, max_groups))
     # the hash is uniform, so equal slices of its value range hold about equal row counts
     slice_no = F.shiftright(hex32(F.col("_digest")) * F.col("_ranges"), 32)
 
     hashed = df.withColumn("_digest", digest)
-    sizes = (
+    range_sizes = (
         df.select(*keys, digest.alias("_digest"))
         .join(hot, keys)
         .groupBy(*keys, slice_no.alias("_range"))
@@ -63,7 +73,7 @@ def hash_ranks(
     earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    offsets = sizes.select(*keys, "_range", F.sum("_n").over(earlier).alias("_offset"))
+    offsets = range_sizes.select(*keys, "_range", F.sum("_n").over(earlier).alias("_offset"))
 
     cut = (
         hashed.join(hot, keys, "left")

@@ -35,15 +35,17 @@ def user_split(
     keys: list[str],
     share: float = 0.8,
     seed: int = 42,
+    sizes: DataFrame | None = None,
     min_rows: int = MIN_SPLIT_ROWS,
     max_groups: int = MAX_SPLIT_GROUPS,
 ) -> DataFrame:
     """Add ``split``: of each user's rows in random order the first ``share`` train.
 
-    Every user keeps at least one training row.  ``keys`` identify a row.
+    Every user keeps at least one training row.  ``keys`` identify a row;
+    ``sizes`` are the users' row counts ``(user, _rows)`` where already known.
     """
     order = salted_md5("user-split", seed, *keys)
-    ranked = hash_ranks(df, ["user"], order, keys, min_rows, max_groups)
+    ranked = hash_ranks(df, ["user"], order, keys, sizes, min_rows, max_groups)
     cut = F.greatest(F.lit(1), F.floor(F.col("group_rows") * F.lit(share)))
     split = F.when(F.col("rank") <= cut, "train").otherwise("test")
     return ranked.select(*df.columns, split.alias("split"))

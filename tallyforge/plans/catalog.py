@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallyforge.functions.scalar import rank_line
 from tallyforge.operators import features, metrics, ranking, relational as rel, splits
 from tallyforge.plans import fixtures as fx
-from tallyforge.plans import model_queries
+from tallyforge.plans import model_queries, recommender
 from tallyforge.sources.delimited import read_alias, read_dimension, read_facts
 from tallyforge.sources.fixed_width import read_fixed_width
 
@@ -91,15 +91,11 @@ def active_users(spark, sf_dir):
     return rel.active_users(fx.interactions(spark, sf_dir), fx.MIN_ITEMS)
 
 
-def _active_facts(spark, sf_dir):
+def active_facts(spark, sf_dir):
     facts = fx.interactions(spark, sf_dir)
     return rel.keep_users(facts, rel.active_users(facts, fx.MIN_ITEMS))
 
 
-def active_facts(spark, sf_dir):
-    return _active_facts(spark, sf_dir)
-
-
 def user_item_sets(spark, sf_dir):
     sets = rel.item_sets(fx.interactions(spark, sf_dir))
     return sets.select("user", "chunk", F.array_join(F.col("items").cast("array<string>"), ",").alias("items"))
@@ -124,8 +120,9 @@ def top_n_report(spark, sf_dir):
 
 
 def exclude_rated(spark, sf_dir):
-    facts = fx.interactions(spark, sf_dir)
-    return rel.exclude_pairs(ranking.same_list(facts.select("user").distinct(), _top(spark, sf_dir)), facts)
+    facts = fx.stored_interactions(spark, sf_dir)
+    top = rel.most_popular(facts, fx.TOP)
+    return rel.exclude_pairs(ranking.same_list(facts.select("user").distinct(), top), facts)
 
 
 def distinct_ids(spark, sf_dir):
@@ -147,9 +144,8 @@ def synthetic_user(spark, sf_dir):
 
 
 def union_new_user(spark, sf_dir):
-    train, _ = _train_test(spark, sf_dir)
-    new = splits.synthetic_user(fx.interactions(spark, sf_dir))
-    return train.select("user", "item", "rating").unionByName(new)
+    data = model_queries.prepared(spark, sf_dir)
+    return data.train.select("user", "item", "rating").unionByName(splits.synthetic_user(data.facts))
 
 
 # --- splits ------------------------------------------------------------------
@@ -165,7 +161,10 @@ def temporal_holdout(spark, sf_dir):
 
 
 def per_user_split(spark, sf_dir):
-    return splits.user_split(_active_facts(spark, sf_dir), fx.FACT_KEYS)
+    facts = fx.stored_interactions(spark, sf_dir)
+    active = rel.active_users(facts, fx.MIN_ITEMS)
+    sizes = active.select("user", F.col("n_rows").alias("_rows"))
+    return splits.user_split(rel.keep_users(facts, active), fx.FACT_KEYS, sizes=sizes)
 
 
 def kfold_assign(spark, sf_dir):
@@ -176,11 +175,6 @@ def sample_ids(spark, sf_dir):
     return splits.sample_ids(fx.interactions(spark, sf_dir), "item", 8)
 
 
-def _train_test(spark, sf_dir):
-    split = per_user_split(spark, sf_dir)
-    return split.filter("split = 'train'"), split.filter("split = 'test'")
-
-
 # --- features ----------------------------------------------------------------
 
 
@@ -291,9 +285,9 @@ def feature_correlation(spark, sf_dir):
 
 
 def _labelled_popular(spark, sf_dir):
-    _, test = _train_test(spark, sf_dir)
-    lists = ranking.same_list(test.select("user").distinct(), _top(spark, sf_dir))
-    return ranking.label_lists(lists, test), test
+    data = model_queries.prepared(spark, sf_dir)
+    lists = ranking.same_list(data.test.select("user").distinct(), data.popular)
+    return ranking.label_lists(lists, data.test), data.test
 
 
 def popular_lists(spark, sf_dir):
@@ -335,9 +329,8 @@ def popular_macro_metrics(spark, sf_dir):
 
 def popular_macro_auc(spark, sf_dir):
     """Active users, per-user split, popular list, stepwise and exact AUC, macro means."""
-    _, test = _train_test(spark, sf_dir)
-    per_user = ranking.shared_list_auc(test, _top(spark, sf_dir))
-    return fx.rounded(ranking.macro_auc(per_user, empty=0.0), 8, "stepwise", "exact")
+    found = recommender.baseline(model_queries.prepared(spark, sf_dir))
+    return fx.rounded(found, 8, "stepwise", "exact")
 
 
 # --- models with a closed form -----------------------------------------------

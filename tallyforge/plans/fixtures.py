@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyforge.functions.hashing import bucket
-from tallyforge.session import intermediate_path
+from tallyforge.session import intermediate_path, write_intermediate
 
 ROW_KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 FACT_KEYS = ["order", "item", "supplier", "line"]
@@ -46,6 +46,11 @@ def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The interactions written once, for queries that read them several times."""
+    return write_intermediate(interactions(spark, sf_dir), "facts")
+
+
 def aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts point to the first part of their brand and type, those to the first of the brand."""
     part = table(spark, sf_dir, "part")

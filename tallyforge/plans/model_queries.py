@@ -43,28 +43,28 @@ def rf_regress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weather.forest_study(records, **YEARS).report
 
 
-def _prepared(spark: SparkSession, sf_dir: str) -> recommender.Prepared:
-    return recommender.prepare(fx.interactions(spark, sf_dir), fx.FACT_KEYS, fx.MIN_ITEMS, fx.TOP)
+def prepared(spark: SparkSession, sf_dir: str) -> recommender.Prepared:
+    return recommender.prepare(fx.stored_interactions(spark, sf_dir), fx.FACT_KEYS, fx.MIN_ITEMS, fx.TOP)
 
 
 def als_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    data = _prepared(spark, sf_dir)
+    data = prepared(spark, sf_dir)
     return factors.recommend(factors.fit_als(data.train), data.test)
 
 
 def als_test_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    data = _prepared(spark, sf_dir)
+    data = prepared(spark, sf_dir)
     return factors.held_out_metrics(factors.fit_als(data.train), data.test)
 
 
 def als_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    data = _prepared(spark, sf_dir)
+    data = prepared(spark, sf_dir)
     table, _, _ = factors.search_als(data.train, fx.FACT_KEYS, SMALL_FACTORS, folds=2, parallelism=2)
     return tuning.ranked_points(table)
 
 
 def new_user_top25(spark: SparkSession, sf_dir: str) -> DataFrame:
-    data = _prepared(spark, sf_dir)
+    data = prepared(spark, sf_dir)
     return recommender.new_user_report(
         data, fx.part_names(spark, sf_dir), {"rank": 10, "regParam": 0.1, "alpha": 1.0}
     )

@@ -182,7 +182,8 @@ WITH {FACTS}, {TOTALS}
 SELECT item, total, CASE WHEN p_size > 10 THEN p_name ELSE 'Unknown(' || item || ')' END AS name
 FROM totals JOIN part ON p_partkey = item""",
     "active_users": f"""
-WITH {FACTS} SELECT "user", count(DISTINCT item) AS n_items FROM facts GROUP BY "user" HAVING n_items >= 40""",
+WITH {FACTS} SELECT "user", count(DISTINCT item) AS n_items, count(*) AS n_rows
+FROM facts GROUP BY "user" HAVING n_items >= 40""",
     "active_facts": f"WITH {ACTIVE} SELECT * FROM act",
     "user_item_sets": f"""
 WITH {FACTS}

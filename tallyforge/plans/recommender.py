@@ -25,12 +25,19 @@ class Prepared(NamedTuple):
 
 
 def prepare(facts: DataFrame, keys: list[str], min_items: int, top: int, seed: int = 42) -> Prepared:
-    """Active users' rows split per user, and the most popular items of all users."""
-    active = rel.keep_users(facts, rel.active_users(facts, min_items))
-    split = write_intermediate(splits.user_split(active, keys, seed=seed), "user-split")
+    """Active users' rows split per user, and the most popular items of all users.
+
+    ``facts`` is read several times and should be stored or persisted.  What is
+    used more than once later is written: the active users, the split rows (by
+    side, so that a reader of one side does not scan the other) and the top list.
+    """
+    active = write_intermediate(rel.active_users(facts, min_items), "active-users")
+    sizes = active.select("user", F.col("n_rows").alias("_rows"))
+    split = splits.user_split(rel.keep_users(facts, active), keys, seed=seed, sizes=sizes)
+    split = write_intermediate(split, "user-split", partition_by="split")
     train = split.filter("split = 'train'").drop("split")
     test = split.filter("split = 'test'").drop("split")
-    return Prepared(facts, train, test, rel.most_popular(facts, top))
+    return Prepared(facts, train, test, write_intermediate(rel.most_popular(facts, top), "popular"))
 
 
 def baseline(data: Prepared) -> DataFrame:

@@ -29,13 +29,14 @@ def intermediate_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/tallyforge/{label}-{uuid.uuid4().hex}"
 
 
-def write_intermediate(df: DataFrame, label: str) -> DataFrame:
+def write_intermediate(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
     """Write once to the shared folder and read back, which cuts the lineage.
 
     What was computed (partition numbers, say) stays as written even when
-    executors are lost later.
+    executors are lost later.  The files stay until the folder is cleaned, like
+    Spark's own checkpoints.
     """
     spark = df.sparkSession
     path = intermediate_path(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=partition_by)
     return spark.read.schema(df.schema).parquet(path)

@@ -29,8 +29,7 @@ def test_query_without_sql_gives_rows(spark, name):
     assert QUERIES[name](spark, SMALL).count() > 0
 
 
-def test_entry(spark):
-    row = entry_module.entry(spark).first()
-    assert row["n_users"] == 48
-    assert row["stepwise"] == pytest.approx(0.547724, abs=1e-6)
-    assert row["exact"] == pytest.approx(0.558466, abs=1e-6)
+def test_entry(spark, con):
+    sql = ORACLES["popular_macro_auc"]
+    assert difference(spark, con, SMALL, lambda s, _: entry_module.entry(s), sql) is None
+    assert entry_module.entry(spark).first()["n_users"] > 0

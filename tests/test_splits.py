@@ -5,7 +5,7 @@ from tallyforge.functions.hashing import salted_md5
 from tallyforge.operators import splits
 from tallyforge.operators.relational import item_sets, resolve_alias
 from tallyforge.operators.running import running_totals
-from tallyforge.operators.skew import big_groups, hash_ranks
+from tallyforge.operators.skew import big_groups, group_sizes, hash_ranks
 
 
 @pytest.fixture(scope="module")
@@ -27,13 +27,13 @@ def test_cut_groups_give_the_same_ranks(facts):
     order = salted_md5("t", 1, "key")
     plain = hash_ranks(facts, ["user"], order, ["key"])
     cut = hash_ranks(facts, ["user"], order, ["key"], min_rows=20, max_groups=16)
-    assert big_groups(facts, ["user"], 20, 16).agg(F.max("_ranges")).first()[0] > 4
+    assert big_groups(group_sizes(facts, ["user"]), ["user"], 20, 16).agg(F.max("_ranges")).first()[0] > 4
     assert as_rows(plain) == as_rows(cut)
     assert [r["rank"] for r in cut.filter("user = 0").orderBy("rank").collect()] == list(range(1, 1001))
 
 
 def test_big_groups_are_few(facts):
-    hot = big_groups(facts, ["user"], min_rows=1, max_groups=8)
+    hot = big_groups(group_sizes(facts, ["user"]), ["user"], min_rows=1, max_groups=8)
     row = hot.agg(F.count("*").alias("n"), F.sum("_ranges").alias("r")).first()
     assert row["n"] == 8 and row["r"] <= 16
 
