@@ -65,8 +65,8 @@ def hash_ranks(
 
     hashed = df.withColumn("_digest", digest)
     range_sizes = (
-        df.select(*keys, digest.alias("_digest"))
-        .join(hot, keys)
+        df.join(hot, keys)  # only the big groups' rows are hashed here
+        .withColumn("_digest", digest)
         .groupBy(*keys, slice_no.alias("_range"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )

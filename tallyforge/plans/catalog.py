@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.feature import (
     StandardScaler,
-    StringIndexer,
     VectorAssembler,
     VectorIndexer,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyforge.functions.scalar import rank_line
@@ -346,6 +347,47 @@ def ols_one_feature(spark, sf_dir):
     return spark.createDataFrame([numbers], "slope double, intercept double")
 
 
+def _stump_inputs(spark, sf_dir):
+    lines = fx.labelled(spark, sf_dir).select(
+        F.when(F.col("answer") == "Yes", 1.0).otherwise(0.0).alias("label"),
+        (F.col("l_extendedprice") / 1000).alias("price"),
+        "l_quantity", "l_discount", "l_tax", "l_linenumber",
+    )
+    inputs = ["l_linenumber", "l_quantity", "l_discount", "l_tax"]
+    return VectorAssembler(inputCols=inputs, outputCol="features").transform(lines)
+
+
+def tree_stump(spark, sf_dir):
+    """A tree of one split, found again by trying all splits in SQL."""
+    rows = _stump_inputs(spark, sf_dir)
+    model = DecisionTreeClassifier(impurity="gini", maxDepth=1, maxBins=64, seed=42).fit(rows)
+    leaves = model.transform(rows).select("prediction", F.round(vector_to_array("probability")[1], 9).alias("share"))
+    return _count_by(leaves, "prediction", "share")
+
+
+def forest_stump(spark, sf_dir):
+    """A regression forest of one whole-sample tree with one split."""
+    rows = _stump_inputs(spark, sf_dir)
+    model = RandomForestRegressor(
+        labelCol="price", numTrees=1, maxDepth=1, maxBins=64, bootstrap=False, seed=42,
+        featureSubsetStrategy="all",
+    ).fit(rows)
+    return _count_by(model.transform(rows).select(F.round("prediction", 6).alias("prediction")), "prediction")
+
+
+def ols_holdout(spark, sf_dir):
+    """Unpenalised regression on the early years, judged on the two later ones."""
+    lines = fx.ordered_lines(spark, sf_dir).select(
+        F.year("o_orderdate").alias("year"), (F.col("l_extendedprice") / 1000).alias("price"), "l_quantity", "l_discount"
+    )
+    rows = splits.temporal_split(lines, "year", (1995, 1999), 2000, 2001)
+    stages = features.scaled_stages(["l_quantity", "l_discount"])
+    model = Pipeline(stages=[*stages, LinearRegression(labelCol="price", maxIter=100)]).fit(rows.filter("split = 'train'"))
+    scored = model.transform(rows.filter("split <> 'train'"))
+    found = metrics.regression_metrics_by(scored, ["split"], "price")
+    return fx.rounded(found, 6, "mse", "rmse", "mae", "r2")
+
+
 QUERIES: dict[str, Query] = {
     "popular_macro_auc": popular_macro_auc,
     "parse_fixed_width": parse_fixed_width_records,
@@ -397,5 +439,8 @@ QUERIES: dict[str, Query] = {
     "rank_metrics_at_k": rank_metrics_at_k,
     "popular_macro_metrics": popular_macro_metrics,
     "ols_one_feature": ols_one_feature,
+    "ols_holdout": ols_holdout,
+    "tree_stump": tree_stump,
+    "forest_stump": forest_stump,
     **model_queries.QUERIES,
 }

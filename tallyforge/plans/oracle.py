@@ -132,6 +132,24 @@ def _categories(feature: str, value: str) -> str:
 FROM (SELECT ({value})::DOUBLE AS v, count(*) AS n FROM lineitem GROUP BY 1)"""
 
 
+def _best_split(target: str, cost: str) -> str:
+    """All splits between neighbouring values of four columns, the cheapest first."""
+    values = " UNION ALL ".join(
+        f"SELECT '{c}' AS f, {c}::DOUBLE AS v, count(*) AS n, sum(t) AS s FROM r GROUP BY {c}"
+        for c in ("l_linenumber", "l_quantity", "l_discount", "l_tax")
+    )
+    return f"""WITH r AS (SELECT {target} AS t, * FROM lineitem),
+vals AS ({values}),
+cum AS (
+  SELECT f, v, sum(n) OVER (PARTITION BY f ORDER BY v) AS nl, sum(s) OVER (PARTITION BY f ORDER BY v) AS sl,
+         sum(n) OVER (PARTITION BY f) AS nt, sum(s) OVER (PARTITION BY f) AS st
+  FROM vals),
+best AS (
+  SELECT nl, sl, nt - nl AS nr, st - sl AS sr FROM cum WHERE nl < nt
+  ORDER BY {cost.format(n="nl", s="sl")} + {cost.format(n="(nt - nl)", s="(st - sl)")} LIMIT 1),
+leaves AS (SELECT nl AS n, sl / nl AS m FROM best UNION ALL SELECT nr, sr / nr FROM best)"""
+
+
 SIX = "l_orderkey, l_partkey, l_suppkey, l_linenumber"
 
 ORACLES: dict[str, str] = {
@@ -312,6 +330,28 @@ FROM judged WHERE hits > 0 AND misses > 0""",
 WITH {PER_USER}
 SELECT count(*) AS n_users, round(avg(stepwise), 8) AS stepwise, round(avg(exact), 8) AS exact
 FROM per_user WHERE hits > 0 AND misses > 0""",
+    "tree_stump": _best_split(ANSWER, "{s} * ({n} - {s})::DOUBLE / {n}") + """
+SELECT CASE WHEN m > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, round(m, 9) AS share, n::BIGINT AS n
+FROM leaves""",
+    "forest_stump": _best_split("l_extendedprice / 1000", "- {s} * {s} / {n}") + """
+SELECT round(m, 6) AS prediction, n::BIGINT AS n FROM leaves""",
+    "ols_holdout": f"""
+WITH r AS (
+  SELECT year(o_orderdate) AS yr, l_extendedprice / 1000 AS y, l_quantity AS a, l_discount AS b FROM {LINES}),
+m AS (
+  SELECT avg(y) AS my, avg(a) AS ma, avg(b) AS mb, var_pop(a) AS va, var_pop(b) AS vb,
+         covar_pop(a, b) AS ab, covar_pop(a, y) AS ay, covar_pop(b, y) AS byy
+  FROM r WHERE yr BETWEEN 1995 AND 1999),
+line AS (
+  SELECT my, ma, mb, (ay * vb - byy * ab) / (va * vb - ab * ab) AS ka,
+         (byy * va - ay * ab) / (va * vb - ab * ab) AS kb FROM m),
+e AS (
+  SELECT CASE yr WHEN 2000 THEN 'valid' ELSE 'test' END AS split, y,
+         y - (my + ka * (a - ma) + kb * (b - mb)) AS d
+  FROM r, line WHERE yr IN (2000, 2001))
+SELECT split, count(*) AS n, round(avg(d * d), 6) AS mse, round(sqrt(avg(d * d)), 6) AS rmse,
+  round(avg(abs(d)), 6) AS mae, round(1 - avg(d * d) / var_pop(y), 6) AS r2
+FROM e GROUP BY split""",
     "ols_one_feature": """
 SELECT round(regr_slope(l_extendedprice / 1000, l_quantity), 4) AS slope,
   round(regr_intercept(l_extendedprice / 1000, l_quantity), 4) AS intercept

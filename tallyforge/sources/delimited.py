@@ -23,20 +23,21 @@ def parse_dimension(lines: DataFrame) -> Parsed:
 
 def parse_alias(lines: DataFrame, on_error: str = "drop") -> Parsed:
     """``bad_id<TAB>good_id`` lines; a line with an empty first token is left out."""
-    token = F.split("value", "\t", -1)
-    bad_id, good_id = strict_int(token.getItem(0)), strict_int(F.get(token, F.lit(1)))
+    first, second = (F.split_part(F.col("value"), F.lit("\t"), F.lit(i)) for i in (1, 2))
+    bad_id, good_id = strict_int(first), strict_int(second)
     reason = F.when(bad_id.isNull(), F.lit("bad alias id")).when(
         good_id.isNull(), F.lit("bad target id")
     )
-    present = lines.filter(token.getItem(0) != "")
+    present = lines.filter(first != "")
     return split_by_reason(present, reason, {"bad_id": bad_id, "good_id": good_id}, on_error)
 
 
 def parse_facts(lines: DataFrame, on_error: str = "drop") -> Parsed:
     """``user item count`` lines, exactly three integers between single blanks."""
-    token = F.split(F.regexp_replace("value", " +$", ""), " ", -1)
-    numbers = [strict_int(F.get(token, F.lit(i))) for i in range(3)]
-    reason = F.when(F.size(token) != 3, F.lit("not three tokens"))
+    text = F.rtrim("value")
+    numbers = [strict_int(F.split_part(text, F.lit(" "), F.lit(i))) for i in (1, 2, 3)]
+    blanks = F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
+    reason = F.when(blanks != 2, F.lit("not three tokens"))
     for label, number in zip(("user", "item", "count"), numbers):
         reason = reason.when(number.isNull(), F.lit(f"bad {label}"))
     user, item, rating = numbers
