@@ -106,10 +106,10 @@ def train_validate(
 
 def _search(train, cuts, prepare, estimator, points, evaluator, parallelism, canonical) -> Search:
     with kept(train):
-        return _searchkept(train, cuts, prepare, estimator, points, evaluator, parallelism, canonical)
+        return _search_stored(train, cuts, prepare, estimator, points, evaluator, parallelism, canonical)
 
 
-def _searchkept(train, cuts, prepare, estimator, points, evaluator, parallelism, canonical) -> Search:
+def _search_stored(train, cuts, prepare, estimator, points, evaluator, parallelism, canonical) -> Search:
     first = first_equals(points, canonical)
     rows = []
     for fold, in_train in cuts:

@@ -1,6 +1,6 @@
 """Implicit-feedback recommender with a most-popular baseline.
 
-    spark-submit -m tallyforge.plans.recommender FACTS --names NAMES --aliases ALIASES
+    python -m tallyforge.plans.recommender FACTS --names NAMES --aliases ALIASES
 """
 
 from __future__ import annotations
@@ -71,6 +71,8 @@ def main() -> None:
     parser.add_argument("--folds", type=int, default=5)
     parser.add_argument("--merge", choices=["none", "sum"], default="none")
     parser.add_argument("--parallelism", type=int, default=1)
+    for name, values in (("ranks", (10, 25, 50)), ("lambdas", (1.0, 0.1, 0.01)), ("alphas", (1.0, 10.0, 100.0))):
+        parser.add_argument(f"--{name}", nargs="+", type=type(values[0]), default=values)
     args = parser.parse_args()
     spark = SparkSession.builder.appName("recommender").getOrCreate()
     facts = load(spark, args.facts, args.aliases, args.merge).persist(StorageLevel.MEMORY_AND_DISK)
@@ -78,8 +80,9 @@ def main() -> None:
     data = prepare(facts, keys, args.min_items, args.top)
     print("most popular:")
     baseline(data).show()
+    points = tuning.grid(rank=args.ranks, regParam=args.lambdas, alpha=args.alphas)
     table, best, model = factors.search_als(
-        data.train, keys, folds=args.folds, k=args.top, parallelism=args.parallelism
+        data.train, keys, points, args.folds, k=args.top, parallelism=args.parallelism
     )
     tuning.ranked_points(table).show(truncate=False)
     print("best parameters:", best)

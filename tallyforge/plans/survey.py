@@ -1,6 +1,6 @@
 """Tuned tree classifiers over a survey table: yes/no label or many classes.
 
-    spark-submit -m tallyforge.plans.survey FILE.csv --task binary --search cv --report-out DIR
+    python -m tallyforge.plans.survey FILE.csv --task binary --search cv --report-out DIR
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallyforge.operators import metrics, tuning
 from tallyforge.operators.features import tabular_stages
 from tallyforge.operators.splits import hash_split
+from tallyforge.session import allow_checkpoints
 from tallyforge.sources import survey as source
 
 
@@ -50,7 +51,9 @@ def tree_study(
     """Decision tree for a two-valued label, tuned by ROC AUC and judged on held-out rows."""
     train, test = _split(df, keys, train_percent, seed)
     stages = tabular_stages(numeric, categorical, label)
-    tree = DecisionTreeClassifier(labelCol="label", featuresCol="features", seed=seed)
+    tree = DecisionTreeClassifier(
+        labelCol="label", featuresCol="features", seed=seed, **_growth(df.sparkSession, points)
+    )
     evaluator = tuning.binary_auc_evaluator(select_by)
     if search == "cv":
         found = tuning.cross_validate(
@@ -83,7 +86,8 @@ def forest_study(
     train, test = _split(df, keys, train_percent, seed)
     stages = tabular_stages(numeric, categorical, label)
     forest = RandomForestClassifier(
-        labelCol="label", featuresCol="features", featureSubsetStrategy="auto", seed=seed
+        labelCol="label", featuresCol="features", featureSubsetStrategy="auto", seed=seed,
+        **_growth(df.sparkSession, points),
     )
     found = tuning.cross_validate(
         train, keys, stages, forest, points, tuning.accuracy_evaluator(), folds, seed, parallelism
@@ -93,6 +97,18 @@ def forest_study(
     return Study(found, scored, metrics.metric_rows(metrics.multiclass_metrics(scored)))
 
 
+def _growth(spark: SparkSession, points: list[dict]) -> dict:
+    """How trees are grown, not what they become.
+
+    More nodes are split per pass over the rows; for deep trees every row keeps
+    its node, so that it need not walk down the tree again for each level.
+    """
+    deep = max(p.get("maxDepth", 5) for p in points) > 12
+    if deep:
+        allow_checkpoints(spark)
+    return {"maxMemoryInMB": 1024, "cacheNodeIds": deep, "checkpointInterval": 10}
+
+
 def _split(df: DataFrame, keys: list[str], percent: int, seed: int) -> tuple[DataFrame, DataFrame]:
     split = hash_split(df, keys, percent, seed)
     return split.filter("split = 'train'").drop("split"), split.filter("split = 'test'").drop("split")

@@ -1,6 +1,6 @@
 """Temperature regression over fixed-width records, judged on later years.
 
-    spark-submit -m tallyforge.plans.weather 'records*' --model linear
+    python -m tallyforge.plans.weather 'records*' --model linear
 """
 
 from __future__ import annotations

@@ -24,6 +24,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def allow_checkpoints(spark: SparkSession) -> None:
+    """Let ML estimators cut their lineage in the shared folder."""
+    folder = shared_folder(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
+
+
 def intermediate_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder."""
     return f"{shared_folder(spark)}/tallyforge/{label}-{uuid.uuid4().hex}"

@@ -47,11 +47,11 @@ def test_fixed_width_null_codes(spark):
 
 
 def test_fixed_width_glob_of_plain_and_gzip(spark, tmp_path):
-    (tmp_path / "065900-2000").write_text(RECORD + "\n" + RECORD + "\n")
-    with gzip.open(tmp_path / "065900-2001.gz", "wt") as f:
+    (tmp_path / "station-2000").write_text(RECORD + "\n" + RECORD + "\n")
+    with gzip.open(tmp_path / "station-2001.gz", "wt") as f:
         f.write(RECORD + "\n")
     (tmp_path / "other").write_text("x\n")
-    assert read_fixed_width(spark, str(tmp_path / "065900*")).good.count() == 3
+    assert read_fixed_width(spark, str(tmp_path / "station*")).good.count() == 3
 
 
 def test_dimension_is_lenient(spark):
