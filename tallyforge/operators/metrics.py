@@ -140,9 +140,10 @@ def regression_metrics_by(
 
 
 def feature_correlation(df: DataFrame, features: list[str], target: str) -> DataFrame:
-    """Correlation of each feature with the target, in one pass."""
+    """Correlation of each feature with the target, in one pass, strongest first."""
     wide = df.agg(*[F.corr(f, target).alias(f) for f in features])
-    return wide.unpivot([], features, "feature", "correlation")
+    long = wide.unpivot([], features, "feature", "correlation")
+    return long.orderBy(F.abs("correlation").desc(), "feature")
 
 
 def metric_rows(metrics: DataFrame) -> DataFrame:

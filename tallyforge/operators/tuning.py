@@ -169,6 +169,11 @@ def ranked_points(metrics: DataFrame, larger_is_better: bool = True) -> DataFram
     return mean_metrics(metrics).withColumn("place", F.row_number().over(order))
 
 
+def parameter_rows(spark: SparkSession, point: Point) -> DataFrame:
+    """A grid point as ``(param, value)`` rows, for writing next to a report."""
+    return spark.createDataFrame([(k, str(v)) for k, v in point.items()], "param string, value string")
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     """Write a fitted model, replacing what is there."""
     model.write().overwrite().save(path)

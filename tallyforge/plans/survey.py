@@ -11,11 +11,12 @@ from typing import NamedTuple
 
 from pyspark import StorageLevel
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyforge.operators import metrics, tuning
-from tallyforge.operators.features import tabular_stages
+from tallyforge.operators.features import index_mapping, tabular_stages
 from tallyforge.operators.splits import hash_split
 from tallyforge.session import allow_checkpoints
 from tallyforge.sources import survey as source
@@ -140,9 +141,13 @@ def main() -> None:
     print("best parameters:", study.search.best)
     study.report.show(truncate=False)
     if args.task == "age":
+        indexers = [m for m in study.search.model.stages if isinstance(m, StringIndexerModel)]
+        index_mapping(spark, indexers[-1]).show(truncate=False)
         metrics.confusion_counts(study.scored).orderBy("label", "prediction").show(200)
     if args.report_out:
-        study.report.write.mode("overwrite").parquet(args.report_out)
+        best = tuning.parameter_rows(spark, study.search.best)
+        best.write.mode("overwrite").parquet(f"{args.report_out}/parameters")
+        study.report.write.mode("overwrite").parquet(f"{args.report_out}/metrics")
     if args.model_out:
         tuning.save_model(study.search.model, args.model_out)
     print(f"training seconds: {trained:.3f}  total seconds: {time.time() - start:.3f}")
