@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallyforge.operators import splits, tuning
 from tallyforge.operators.features import LINEAR_FEATURES, add_cyclical
 from tallyforge.plans import fixtures as fx, recommender, survey, weather
+from tallyforge.plans.catalog import QUERIES
 from tallyforge.session import shared_folder
 from tallyforge.sources import survey as survey_source
 from tallyforge.sources.fixed_width import read_fixed_width
@@ -75,6 +76,14 @@ def test_shared_folder_is_the_sessions(spark):
     assert named is None or shared_folder(spark) == named.rstrip("/")
 
 
+@pytest.mark.parametrize(
+    "name", ["popular_macro_auc", "exclude_rated", "union_new_user", "binary_auc", "alias_merge", "top_n_report"]
+)
+def test_no_cross_joins_and_no_python(spark, name):
+    plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert not [word for word in ("Cartesian", "NestedLoop", "Python", "Pandas") if word in plan]
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     df = fx.table(spark, SMALL, "lineitem").filter(F.col("l_quantity") > 30).select("l_orderkey")
     plan = df._jdf.queryExecution().executedPlan().toString()
