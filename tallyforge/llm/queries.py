@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from tallyforge.llm.exact_dedup import exact_groups
 from tallyforge.llm.packing import pack_documents
 from tallyforge.llm.scratch import table
+from tallyforge.llm.secret_scan import report, scan_secrets
+from tallyforge.llm.token_files import read_checksums, write_token_files
+from tallyforge.session import intermediate_path
 
 BPE_FILE = "byte_bpe_50k.json"
 
@@ -20,6 +23,12 @@ def tokenizer_file(name: str = BPE_FILE) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_huffman_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = intermediate_path(spark, "token-files")
+    write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_file(), end=0)
+    return read_checksums(spark, path)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -28,9 +37,15 @@ def op9_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_file(), size=2048, end=1)
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(scan_secrets(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_huffman_token_files": op3_huffman_token_files,
     "op5_exact_dedup": op5_exact_dedup,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLES: dict[str, str] = {
