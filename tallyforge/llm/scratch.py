@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyforge.session import intermediate_path
@@ -27,5 +30,18 @@ def drop(spark: SparkSession, *paths: str) -> None:
         target.getFileSystem(conf).delete(target, True)
 
 
+def reach_package(spark: SparkSession) -> None:
+    """Let Python workers import this package where the session runs on its own machine.
+
+    On a cluster the package comes with --py-files or is installed; a folder that is not
+    there is passed over.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *paths]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reach_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
