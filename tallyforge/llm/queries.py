@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyforge.llm.embedding_dedup import near_duplicates
 from tallyforge.llm.exact_dedup import exact_groups
 from tallyforge.llm.packing import pack_documents
 from tallyforge.llm.scratch import table
@@ -34,6 +35,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 THRESHOLD = 0.3  # a document with this score or more is called toxic
 
 
@@ -59,6 +64,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_huffman_token_files": op3_huffman_token_files,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_toxicity": op7_toxicity,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_secret_scan": op10_secret_scan,
