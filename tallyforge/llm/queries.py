@@ -12,7 +12,7 @@ from tallyforge.llm.exact_dedup import exact_groups
 from tallyforge.llm.packing import pack_documents
 from tallyforge.llm.scratch import table
 from tallyforge.llm.secret_scan import report, scan_secrets
-from tallyforge.llm import toxicity
+from tallyforge.llm import html_extract, toxicity
 from tallyforge.llm.token_files import read_checksums, write_token_files
 from tallyforge.session import intermediate_path
 
@@ -25,6 +25,11 @@ def tokenizer_file(name: str = BPE_FILE) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.fit(pages))
+
+
 def op3_huffman_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = intermediate_path(spark, "token-files")
     write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_file(), end=0)
@@ -62,6 +67,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_html_extraction": op2_html_extraction,
     "op3_huffman_token_files": op3_huffman_token_files,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
