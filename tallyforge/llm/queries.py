@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm.embedding_dedup import near_duplicates
 from tallyforge.llm.exact_dedup import exact_groups
+from tallyforge.llm.jaccard_join import similarity_classes
 from tallyforge.llm.packing import pack_documents
 from tallyforge.llm.scratch import table
 from tallyforge.llm.secret_scan import report, scan_secrets
@@ -25,6 +26,10 @@ def tokenizer_file(name: str = BPE_FILE) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity_classes(table(spark, sf_dir, "documents"), size=3, num=90, den=100)
+
+
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return html_extract.extract(pages, html_extract.fit(pages))
@@ -67,6 +72,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op2_html_extraction": op2_html_extraction,
     "op3_huffman_token_files": op3_huffman_token_files,
     "op5_exact_dedup": op5_exact_dedup,
