@@ -13,7 +13,7 @@ from tallyforge.llm.jaccard_join import similarity_classes
 from tallyforge.llm.packing import pack_documents
 from tallyforge.llm.scratch import table
 from tallyforge.llm.secret_scan import report, scan_secrets
-from tallyforge.llm import html_extract, toxicity
+from tallyforge.llm import html_extract, piece_nbest, toxicity
 from tallyforge.llm.token_files import read_checksums, write_token_files
 from tallyforge.session import intermediate_path
 
@@ -41,6 +41,10 @@ def op3_huffman_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_checksums(spark, path)
 
 
+def op4_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_nbest.summary(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), n=4)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_html_extraction": op2_html_extraction,
     "op3_huffman_token_files": op3_huffman_token_files,
+    "op4_sentencepiece_nbest": op4_sentencepiece_nbest,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_toxicity": op7_toxicity,
