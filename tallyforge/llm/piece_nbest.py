@@ -24,7 +24,8 @@ class Pieces:
 
     A text is a blank and its characters, blanks written as SPACE.  Every piece found in it
     is an edge; a character that is no piece of its own is an edge of 10 below the lowest
-    score, written as its bytes.  The score of a path is the sum of its edges.
+    score, written as its bytes; pieces that the file scores below that count as much.
+    The score of a path is the sum of its edges.
     """
 
     def __init__(self, path: str):
@@ -38,7 +39,7 @@ class Pieces:
         usual = [i for i in ids if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
         self.unknown = min((s for i in usual if (s := model.get_score(i)) > LOWEST), default=0.0) - 10
         self.unknown_id = model.unk_id()
-        self.edges = {self.text[i]: (i, model.get_score(i)) for i in usual}
+        self.edges = {self.text[i]: (i, max(model.get_score(i), self.unknown)) for i in usual}
         self.prefixes = {p[:k] for p in self.edges for k in range(1, len(p) + 1)}
         within = {p for p in self.edges if SPACE in p.lstrip(SPACE)}
         alone = "".join(c for c in "\n\t\r" if not any(c in p for p in self.edges))

@@ -13,7 +13,7 @@ from tallyforge.llm.jaccard_join import similarity_classes
 from tallyforge.llm.packing import pack_documents
 from tallyforge.llm.scratch import table
 from tallyforge.llm.secret_scan import report, scan_secrets
-from tallyforge.llm import html_extract, piece_nbest, toxicity
+from tallyforge.llm import html_extract, license_scan, piece_nbest, toxicity
 from tallyforge.llm.token_files import read_checksums, write_token_files
 from tallyforge.session import intermediate_path
 
@@ -67,6 +67,13 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document is the file source/lang/doc_id.txt."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")), F.concat("doc_id", F.lit(".txt")))
+    return license_scan.scan(docs.select("doc_id", "text", path.alias("path")), "doc_id", "path", "text")
+
+
 def op9_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_file(), size=2048, end=1)
 
@@ -83,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_toxicity": op7_toxicity,
+    "op8_license_scan": op8_license_scan,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_secret_scan": op10_secret_scan,
 }
@@ -93,4 +101,5 @@ ORACLES: dict[str, str] = {
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op8_license_scan": license_scan.oracle("concat_ws('/', coalesce(source, ''), coalesce(lang, ''), doc_id || '.txt')"),
 }
