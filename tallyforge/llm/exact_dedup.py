@@ -43,22 +43,25 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", keep:
 
 
 def drop_exact_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: str = "smallest") -> DataFrame:
-    """docs without the rows whose text another row keeps; all columns stay as they are.
+    """One row per distinct text: the one exact_groups keeps, with all its columns.
 
-    Rows that repeat the kept id with the same text leave one row.  Null ids follow
-    exact_groups.  A row's other columns come from one of its rows with the kept id.
+    Grouped in the same way, by hash and bytes; the other columns travel with the key, so
+    no join follows.  Null ids come after all others; of rows that repeat the kept id one
+    stays.  Columns may have any names.
     """
+    if keep not in ("smallest", "largest"):
+        raise ValueError("keep is 'smallest' or 'largest'")
     names = [f"_c{i}" for i in range(len(docs.columns))]
     plain = docs.toDF(*names)
     key_name, text_name = (names[docs.columns.index(c)] for c in (key, text))
-    kept = exact_groups(plain, key_name, text_name, keep).filter("kept").select(
-        F.col(key_name).alias("_kept_id"), "text_sha256"
-    ).distinct()
-    marked = plain.withColumn("_sha", F.sha2(F.coalesce(F.col(text_name), F.lit("")), 256))
-    chosen = marked.join(
-        kept, marked[key_name].eqNullSafe(kept["_kept_id"]) & (marked["_sha"] == kept["text_sha256"]), "left_semi"
-    )
-    return chosen.dropDuplicates([key_name, "_sha"]).select(*names).toDF(*docs.columns)
+    others = [c for c in names if c != text_name]
+    row = F.struct(*others, F.col(text_name).isNull().alias("_null"))
+    missing = F.col(key_name).isNull()
+    first = F.min_by(row, F.struct(missing, key_name)) if keep == "smallest" else F.max_by(row, F.struct(~missing, key_name))
+    body = F.coalesce(F.col(text_name), F.lit(""))
+    kept = plain.groupBy(_md5(body).alias("_hash"), body.alias("_text")).agg(first.alias("_row"))
+    columns = [F.when(~F.col("_row._null"), F.col("_text")) if c == text_name else F.col(f"_row.{c}") for c in names]
+    return kept.select(*(column.alias(c) for column, c in zip(columns, names))).toDF(*docs.columns)
 
 
 def _md5(text: Column) -> Column:

@@ -18,6 +18,7 @@ from tallyforge.llm.token_files import read_checksums, write_token_files
 from tallyforge.session import intermediate_path
 
 BPE_FILE = "byte_bpe_50k.json"
+TOXIC = 0.3  # a document with this score or more is called toxic
 
 
 def tokenizer_file(name: str = BPE_FILE) -> str:
@@ -53,17 +54,19 @@ def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
-THRESHOLD = 0.3  # a document with this score or more is called toxic
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    """Learned from the labels that are not held out."""
+    return toxicity.fit(docs, table(spark, sf_dir, "labels").filter(~toxicity.held_out(F.col("doc_id"))))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    model = toxicity.fit(docs, labels.filter(~toxicity.held_out(F.col("doc_id"))))
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity_model(spark, docs, sf_dir)
     return toxicity.score(docs, model).select(
         "doc_id",
         toxicity.held_out(F.col("doc_id")).alias("held_out"),
         "score",
-        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+        (F.col("score") >= TOXIC).cast("int").alias("predicted"),
     )
 
 

@@ -193,6 +193,20 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     return source.mapInArrow(rate, f"`{key}` {source.schema['_key'].dataType.simpleString()}, score double")
 
 
+def keep_clean(docs: DataFrame, model: Model, threshold: float, text: str = "text") -> DataFrame:
+    """The rows of docs whose text scores below threshold, with all their columns."""
+    at = docs.columns.index(text)
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of weights
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(shared.value.scores(batch.column(at).to_pylist()) < threshold))
+
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    plain = docs.toDF(*names)
+    return plain.mapInArrow(judge, plain.schema).toDF(*docs.columns)
+
+
 def held_out(key: Column) -> Column:
     """Rows whose labels are not learned from: crc32 of the key as text leaves 2 when divided by 4."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 4 == 2, F.lit(False))
