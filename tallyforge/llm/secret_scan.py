@@ -137,9 +137,10 @@ def listed(spans: Column) -> Column:
 def report(scanned: DataFrame, key: str = "doc_id") -> DataFrame:
     """key, the number of spans of each fixed kind, the digest of the fixed spans, all spans."""
     base = F.filter("spans", lambda s: s["rank"] < len(BASE))
+    ranks = F.transform("spans", lambda s: s["rank"])
     numbers = [
-        F.size(F.filter("spans", lambda s, i=i: s["rank"] == i)).cast("long").alias(f"n_{kind}")
-        for i, (kind, *_) in enumerate(BASE)
+        F.size(F.filter(ranks, (lambda kind: lambda rank: rank == kind)(i))).cast("long").alias(f"n_{name}")
+        for i, (name, *_) in enumerate(BASE)
     ]
     return scanned.select(key, *numbers, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
