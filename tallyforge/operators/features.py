@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Transformer
 from pyspark.ml.feature import (
+    SQLTransformer,
     StandardScaler,
     StringIndexer,
     StringIndexerModel,
@@ -53,11 +54,18 @@ def label_indexer(column: str, output: str = "label") -> StringIndexer:
 def tabular_stages(
     numeric: list[str], categorical: list[str], label: str, max_categories: int = 20
 ) -> list:
-    """Indexers, assembler and vector indexer that produce ``features`` and ``label``."""
-    inputs = [*numeric, *[f"{c}_idx" for c in categorical]]
+    """Indexers, assembler and vector indexer that produce ``features`` and ``label``.
+
+    The vector indexer alone decides which features are categories: an indexed column
+    keeps no note of its levels, so one with more than ``max_categories`` of them is a
+    number to the trees and asks for no more bins than they have.
+    """
+    inputs = [*numeric, *[f"{c}_num" for c in categorical]]
+    plain = ", ".join(f"`{c}_idx` + 0.0D AS `{c}_num`" for c in categorical)
     return [
         category_indexer(categorical),
         label_indexer(label),
+        SQLTransformer(statement=f"SELECT *, {plain} FROM __THIS__" if categorical else "SELECT * FROM __THIS__"),
         VectorAssembler(inputCols=inputs, outputCol="rawFeatures", handleInvalid="keep"),
         VectorIndexer(
             inputCol="rawFeatures", outputCol="features",

@@ -58,7 +58,7 @@ def item_sets(facts: DataFrame, width: int = 1024) -> DataFrame:
 
     A range holds at most ``width`` different ids, so no array grows with the data.
     """
-    chunk = F.floor(F.col("item") / F.lit(width)).cast("bigint").alias("chunk")
+    chunk = F.expr(f"(item - pmod(item, {width}L)) div {width}L").alias("chunk")
     return facts.groupBy("user", chunk).agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyforge.functions.hashing import bucket, salted_md5
-from tallyforge.operators.skew import MAX_SPLIT_GROUPS, MIN_SPLIT_ROWS, hash_ranks
+from tallyforge.operators.skew import RANGE_ROWS, hash_ranks
 
 
 def hash_split(df: DataFrame, keys: list[str], train_percent: int = 80, seed: int = 42) -> DataFrame:
@@ -36,16 +36,16 @@ def user_split(
     share: float = 0.8,
     seed: int = 42,
     sizes: DataFrame | None = None,
-    min_rows: int = MIN_SPLIT_ROWS,
-    max_groups: int = MAX_SPLIT_GROUPS,
+    range_rows: int = RANGE_ROWS,
+    repeated: bool = True,
 ) -> DataFrame:
     """Add ``split``: of each user's rows in random order the first ``share`` train.
 
-    Every user keeps at least one training row.  ``keys`` identify a row;
-    ``sizes`` are the users' row counts ``(user, _rows)`` where already known.
+    Every user keeps at least one training row.  ``keys`` order a user's rows;
+    ``repeated=False`` says that no row repeats.  ``sizes`` are the users' row counts ``(user, _rows)`` where already known.
     """
     order = salted_md5("user-split", seed, *keys)
-    ranked = hash_ranks(df, ["user"], order, keys, sizes, min_rows, max_groups)
+    ranked = hash_ranks(df, ["user"], order, keys, sizes, range_rows, repeated)
     cut = F.greatest(F.lit(1), F.floor(F.col("group_rows") * F.lit(share)))
     split = F.when(F.col("rank") <= cut, "train").otherwise("test")
     return ranked.select(*df.columns, split.alias("split"))

@@ -21,6 +21,7 @@ from tallyforge.functions.hashing import bucket
 from tallyforge.operators.splits import assign_folds
 
 Point = dict[str, Any]
+PARTITIONS = 64  # of the rows a search trains on; forests draw their samples per partition, so it is fixed
 
 
 class Search(NamedTuple):
@@ -80,9 +81,10 @@ def cross_validate(
     seed: int = 42,
     parallelism: int = 2,
     canonical: Callable[[Point], Point] | None = None,
+    partitions: int = PARTITIONS,
 ) -> Search:
     """k-fold search; the winner is fitted again on all of ``train``."""
-    numbered = assign_folds(spread(train, keys), keys, folds, seed)
+    numbered = assign_folds(spread(train, keys, partitions), keys, folds, seed)
     cuts = [(k, F.col("fold") != k) for k in range(folds)]
     return _search(numbered, cuts, prepare, estimator, points, evaluator, parallelism, canonical)
 
@@ -98,10 +100,11 @@ def train_validate(
     seed: int = 42,
     parallelism: int = 2,
     canonical: Callable[[Point], Point] | None = None,
+    partitions: int = PARTITIONS,
 ) -> Search:
     """Search on one train/validation cut; the winner is fitted again on all of ``train``."""
     cuts = [(0, bucket("validation", seed, 100, *keys) < train_percent)]
-    return _search(spread(train, keys), cuts, prepare, estimator, points, evaluator, parallelism, canonical)
+    return _search(spread(train, keys, partitions), cuts, prepare, estimator, points, evaluator, parallelism, canonical)
 
 
 def _search(train, cuts, prepare, estimator, points, evaluator, parallelism, canonical) -> Search:
@@ -136,12 +139,14 @@ def _search_stored(train, cuts, prepare, estimator, points, evaluator, paralleli
     return Search(metrics, points[number], value, PipelineModel([*prepared.stages, final]))
 
 
-def spread(train: DataFrame, keys: list[str]) -> DataFrame:
+def spread(train: DataFrame, keys: list[str], partitions: int = PARTITIONS) -> DataFrame:
     """Even partitions by row key, in key order: one shuffle for the many passes of the fits.
 
-    Tree fits sample rows by their place, so a fixed order makes them repeatable.
+    Tree fits sample rows by their place.  The number of partitions is an argument
+    and neither the session's settings nor adaptive execution change it, so the same
+    rows give the same trees on any cluster; raise it for large inputs, and keep it.
     """
-    return train.repartition(*keys).sortWithinPartitions(*keys)
+    return train.repartition(partitions, *keys).sortWithinPartitions(*keys)
 
 
 def metrics_table(spark: SparkSession, rows: list[tuple], points: list[Point]) -> DataFrame:

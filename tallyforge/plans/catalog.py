@@ -19,6 +19,7 @@ from tallyforge.functions.scalar import rank_line
 from tallyforge.operators import features, metrics, ranking, relational as rel, splits
 from tallyforge.plans import fixtures as fx
 from tallyforge.plans import model_queries, recommender
+from tallyforge.session import write_intermediate
 from tallyforge.sources.delimited import read_alias, read_dimension, read_facts
 from tallyforge.sources.fixed_width import read_fixed_width
 
@@ -158,14 +159,14 @@ def hash_split(spark, sf_dir):
 
 def temporal_holdout(spark, sf_dir):
     orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"))
-    return splits.temporal_split(orders, "year", (1996, 1999), 2000, 2001)
+    return splits.temporal_split(orders, "year", (1995, 1999), 2000, 2001)
 
 
 def per_user_split(spark, sf_dir):
     facts = fx.stored_interactions(spark, sf_dir)
-    active = rel.active_users(facts, fx.MIN_ITEMS)
+    active = write_intermediate(rel.active_users(facts, fx.MIN_ITEMS), "active-users")
     sizes = active.select("user", F.col("n_rows").alias("_rows"))
-    return splits.user_split(rel.keep_users(facts, active), fx.FACT_KEYS, sizes=sizes)
+    return splits.user_split(rel.keep_users(facts, active), fx.FACT_KEYS, sizes=sizes, repeated=False)
 
 
 def kfold_assign(spark, sf_dir):
@@ -187,7 +188,8 @@ def cyclical_encoding(spark, sf_dir):
 
 def string_index_keep(spark, sf_dir):
     part = fx.table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
-    fitted = features.category_indexer(["p_brand", "p_type"]).fit(part.filter("p_size <= 4"))
+    known = part.filter("p_size <= 4 AND p_brand <> 'Brand#11' AND p_type <> 'PROMO'")
+    fitted = features.category_indexer(["p_brand", "p_type"]).fit(known)
     return fitted.transform(part).select("p_partkey", "p_brand_idx", "p_type_idx")
 
 
@@ -252,6 +254,12 @@ def binary_rates(spark, sf_dir):
     return fx.rounded(rates, 9, "precision", "recall", "accuracy", "class_accuracy")
 
 
+def binary_rates_zero(spark, sf_dir):
+    """Nothing is predicted, so one denominator is zero."""
+    rates = metrics.binary_rates(fx.judged(spark, sf_dir).withColumn("prediction", F.lit(0.0)))
+    return fx.rounded(rates, 9, "precision", "recall", "accuracy", "class_accuracy")
+
+
 def binary_auc(spark, sf_dir):
     return fx.rounded(metrics.binary_auc(fx.judged(spark, sf_dir), "fine_score"), 8, "roc_auc", "pr_auc")
 
@@ -425,6 +433,7 @@ QUERIES: dict[str, Query] = {
     "standardize": standardize,
     "binary_confusion": binary_confusion,
     "binary_rates": binary_rates,
+    "binary_rates_zero": binary_rates_zero,
     "binary_auc": binary_auc,
     "binary_auc_ties": binary_auc_ties,
     "multiclass_confusion": multiclass_confusion,

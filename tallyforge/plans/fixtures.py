@@ -52,13 +52,18 @@ def stored_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts point to the first part of their brand and type, those to the first of the brand."""
+    """Parts point to the first part of their brand and type, those to the first of the brand.
+
+    Every fifth size has no alias; those of one size have a second, smaller target.
+    """
     part = table(spark, sf_dir, "part")
     kinds = part.groupBy("p_brand", "p_type").agg(F.min("p_partkey").alias("first"))
     brands = kinds.groupBy("p_brand").agg(F.min("first").alias("brand_first"))
     known = part.join(kinds, ["p_brand", "p_type"]).join(brands, "p_brand")
     target = F.when(F.col("p_partkey") == F.col("first"), F.col("brand_first")).otherwise(F.col("first"))
-    return known.select(F.col("p_partkey").alias("bad_id"), target.alias("good_id"), "p_size")
+    one = known.filter("p_size % 5 <> 0").select(F.col("p_partkey").alias("bad_id"), target.alias("good_id"), "p_size")
+    second = one.filter("p_size = 7").withColumn("good_id", F.lit(0).cast(one.schema["good_id"].dataType))
+    return one.unionByName(second)
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,6 @@ from tallyforge.operators import factors, tuning
 from tallyforge.plans import fixtures as fx, recommender, survey, weather
 from tallyforge.sources.fixed_width import read_fixed_width
 
-SMALL_TREES = tuning.grid(impurity=["entropy", "gini"], maxDepth=[4, 6], maxBins=[32])
 SMALL_FORESTS = tuning.grid(impurity=["gini"], maxDepth=[4, 6], maxBins=[32], numTrees=[5])
 SMALL_FACTORS = tuning.grid(rank=[10], regParam=[0.1], alpha=[1.0, 10.0])
 YEARS = {"train": (1995, 1999), "valid": 2000, "test": 2001}
@@ -20,23 +19,12 @@ def _survey_roles(label: str) -> tuple:
 
 def dt_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fx.survey_like(spark, sf_dir)
-    return survey.tree_study(rows, *_survey_roles("answer"), points=SMALL_TREES, folds=2, parallelism=4).report
-
-
-def full_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole grid on five folds; too long for the catalogue, timed by the benchmark on request.
-
-    The smallest bin count of the grid is below the number of brands, which are left out.
-    """
-    numeric, categorical, label, keys = _survey_roles("answer")
-    categorical = [c for c in categorical if c != "p_brand"]
-    rows = fx.survey_like(spark, sf_dir)
-    return survey.tree_study(rows, numeric, categorical, label, keys, parallelism=4).report
+    return survey.tree_study(rows, *_survey_roles("answer"), parallelism=4).report
 
 
 def dt_tvs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fx.survey_like(spark, sf_dir)
-    return survey.tree_study(rows, *_survey_roles("answer"), points=SMALL_TREES, search="tvs", parallelism=4).report
+    return survey.tree_study(rows, *_survey_roles("answer"), search="tvs", parallelism=4).report
 
 
 def rf_multiclass_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +43,7 @@ def rf_regress(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prepared(spark: SparkSession, sf_dir: str) -> recommender.Prepared:
-    return recommender.prepare(fx.stored_interactions(spark, sf_dir), fx.FACT_KEYS, fx.MIN_ITEMS, fx.TOP)
+    return recommender.prepare(fx.stored_interactions(spark, sf_dir), fx.FACT_KEYS, fx.MIN_ITEMS, fx.TOP, repeated=False)
 
 
 def als_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

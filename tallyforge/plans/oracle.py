@@ -17,9 +17,10 @@ FACTS = f"""facts AS (
   FROM {LINES})"""
 ALIASES = """first_of AS (SELECT p_brand, p_type, min(p_partkey) AS f FROM part GROUP BY ALL),
 brand_first AS (SELECT p_brand, min(p_partkey) AS bf FROM part GROUP BY ALL),
-aliases AS (
+one_alias AS (
   SELECT p_partkey AS bad_id, CASE WHEN p_partkey = f THEN bf ELSE f END AS good_id, p_size
-  FROM part JOIN first_of USING (p_brand, p_type) JOIN brand_first USING (p_brand))"""
+  FROM part JOIN first_of USING (p_brand, p_type) JOIN brand_first USING (p_brand) WHERE p_size % 5 <> 0),
+aliases AS (SELECT * FROM one_alias UNION ALL SELECT bad_id, 0, p_size FROM one_alias WHERE p_size = 7)"""
 ACTIVE = f"""{FACTS},
 active AS (SELECT "user" FROM facts GROUP BY "user" HAVING count(DISTINCT item) >= 40),
 act AS (SELECT * FROM facts WHERE "user" IN (SELECT "user" FROM active))"""
@@ -110,7 +111,7 @@ FROM steps"""
 def _index(column: str) -> str:
     """Frequency rank of the small parts' values; others get the next index."""
     return f"""(SELECT {column} AS v, row_number() OVER (ORDER BY count(*) DESC, {column}) - 1 AS i
-   FROM part WHERE p_size <= 4 GROUP BY {column})"""
+   FROM part WHERE p_size <= 4 AND p_brand <> 'Brand#11' AND p_type <> 'PROMO' GROUP BY {column})"""
 
 
 def _shape(table: str, columns: int) -> str:
@@ -190,11 +191,12 @@ FROM {LINES} WHERE l_tax = 0.08 OR l_quantity = 50 GROUP BY 1""",
     ),
     "alias_resolve": f"""
 WITH {FACTS}, {ALIASES}
-SELECT "user", good_id AS item, rating, "order", supplier, line, item AS raw_item
-FROM facts JOIN aliases ON bad_id = item""",
+SELECT "user", coalesce(good_id, item) AS item, rating, "order", supplier, line, item AS raw_item
+FROM facts LEFT JOIN one_alias ON bad_id = item""",
     "alias_merge": f"""
 WITH {FACTS}, {ALIASES}
-SELECT "user", good_id AS item, sum(rating) AS rating FROM facts JOIN aliases ON bad_id = item GROUP BY ALL""",
+SELECT "user", coalesce(good_id, item) AS item, sum(rating) AS rating
+FROM facts LEFT JOIN one_alias ON bad_id = item GROUP BY ALL""",
     "name_lookup_default": f"""
 WITH {FACTS}, {TOTALS}
 SELECT item, total, CASE WHEN p_size > 10 THEN p_name ELSE 'Unknown(' || item || ')' END AS name
@@ -245,7 +247,7 @@ FROM lineitem""",
     "temporal_holdout": """
 SELECT o_orderkey, year(o_orderdate)::INTEGER AS year,
   CASE year(o_orderdate) WHEN 2001 THEN 'test' WHEN 2000 THEN 'valid' ELSE 'train' END AS split
-FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 2001""",
+FROM orders WHERE year(o_orderdate) BETWEEN 1995 AND 2001""",
     "per_user_split": f"WITH {SPLIT} SELECT * FROM split",
     "kfold_assign": f"SELECT {SIX}, ({_hash('fold', ROW_TEXT)} % 5)::INTEGER AS fold FROM lineitem",
     "cyclical_encoding": f"""
@@ -284,6 +286,11 @@ WITH {CONFUSION}
 SELECT tp, tn, fp, fn, round(tp::DOUBLE / (tp + fp), 9) AS precision, round(tp::DOUBLE / (tp + fn), 9) AS recall,
   round((tp + tn)::DOUBLE / (tp + tn + fp + fn), 9) AS accuracy,
   round((tp::DOUBLE / (tp + fn) + tn::DOUBLE / (tn + fp)) / 2, 9) AS class_accuracy
+FROM c""",
+    "binary_rates_zero": f"""
+WITH {CONFUSION}
+SELECT 0::BIGINT AS tp, tn + fp AS tn, 0::BIGINT AS fp, fn + tp AS fn, 0.0::DOUBLE AS precision, 0.0::DOUBLE AS recall,
+  round((tn + fp)::DOUBLE / (tp + tn + fp + fn), 9) AS accuracy, 0.5::DOUBLE AS class_accuracy
 FROM c""",
     "binary_auc": _curve("fine"),
     "binary_auc_ties": _curve("coarse"),

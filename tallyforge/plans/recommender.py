@@ -24,7 +24,9 @@ class Prepared(NamedTuple):
     popular: DataFrame
 
 
-def prepare(facts: DataFrame, keys: list[str], min_items: int, top: int, seed: int = 42) -> Prepared:
+def prepare(
+    facts: DataFrame, keys: list[str], min_items: int, top: int, seed: int = 42, repeated: bool = True
+) -> Prepared:
     """Active users' rows split per user, and the most popular items of all users.
 
     ``facts`` is read several times and should be stored or persisted.  What is
@@ -33,7 +35,7 @@ def prepare(facts: DataFrame, keys: list[str], min_items: int, top: int, seed: i
     """
     active = write_intermediate(rel.active_users(facts, min_items), "active-users")
     sizes = active.select("user", F.col("n_rows").alias("_rows"))
-    split = splits.user_split(rel.keep_users(facts, active), keys, seed=seed, sizes=sizes)
+    split = splits.user_split(rel.keep_users(facts, active), keys, seed=seed, sizes=sizes, repeated=repeated)
     split = write_intermediate(split, "user-split", partition_by="split")
     train = split.filter("split = 'train'").drop("split")
     test = split.filter("split = 'test'").drop("split")
@@ -71,8 +73,10 @@ def main() -> None:
     parser.add_argument("--folds", type=int, default=5)
     parser.add_argument("--merge", choices=["none", "sum"], default="none")
     parser.add_argument("--parallelism", type=int, default=1)
-    for name, values in (("ranks", (10, 25, 50)), ("lambdas", (1.0, 0.1, 0.01)), ("alphas", (1.0, 10.0, 100.0))):
-        parser.add_argument(f"--{name}", nargs="+", type=type(values[0]), default=values)
+    parser.add_argument("--blocks", type=int, default=factors.BLOCKS)
+    for option, name in (("ranks", "rank"), ("lambdas", "regParam"), ("alphas", "alpha")):
+        values = list(dict.fromkeys(point[name] for point in tuning.ALS_GRID))
+        parser.add_argument(f"--{option}", nargs="+", type=type(values[0]), default=values)
     args = parser.parse_args()
     spark = SparkSession.builder.appName("recommender").getOrCreate()
     facts = load(spark, args.facts, args.aliases, args.merge).persist(StorageLevel.MEMORY_AND_DISK)
@@ -82,13 +86,13 @@ def main() -> None:
     baseline(data).show()
     points = tuning.grid(rank=args.ranks, regParam=args.lambdas, alpha=args.alphas)
     table, best, model = factors.search_als(
-        data.train, keys, points, args.folds, k=args.top, parallelism=args.parallelism
+        data.train, keys, points, args.folds, k=args.top, parallelism=args.parallelism, blocks=args.blocks
     )
     tuning.ranked_points(table).show(truncate=False)
     print("best parameters:", best)
     metrics.metric_rows(factors.held_out_metrics(model, data.test, args.top)).show()
     names = delimited.read_dimension(spark, args.names).good
-    new_user_report(data, names, best).orderBy("rank").select("line").show(25, truncate=False)
+    new_user_report(data, names, best, blocks=args.blocks).orderBy("rank").select("line").show(25, truncate=False)
     spark.stop()
 
 

@@ -22,6 +22,9 @@ from tallyforge.session import allow_checkpoints
 from tallyforge.sources import survey as source
 
 
+GROWTH_MB = 1024  # of an executor's memory per running task
+
+
 class Study(NamedTuple):
     search: tuning.Search
     scored: DataFrame  # label, prediction, score of the test rows
@@ -99,15 +102,17 @@ def forest_study(
 
 
 def _growth(spark: SparkSession, points: list[dict]) -> dict:
-    """How trees are grown, not what they become.
+    """How trees are grown.
 
-    More nodes are split per pass over the rows; for deep trees every row keeps
-    its node, so that it need not walk down the tree again for each level.
+    More nodes are split per pass over the rows (up to ``GROWTH_MB`` in every running
+    task; it also orders the nodes, and with it a forest's draws of features, so it is
+    a constant); for deep trees every row keeps its node, so that it need not walk down
+    the tree again for each level.
     """
     deep = max(p.get("maxDepth", 5) for p in points) > 12
     if deep:
         allow_checkpoints(spark)
-    return {"maxMemoryInMB": 1024, "cacheNodeIds": deep, "checkpointInterval": 10}
+    return {"maxMemoryInMB": GROWTH_MB, "cacheNodeIds": deep, "checkpointInterval": 10}
 
 
 def _split(df: DataFrame, keys: list[str], percent: int, seed: int) -> tuple[DataFrame, DataFrame]:

@@ -14,35 +14,34 @@ def parse_dimension(lines: DataFrame) -> Parsed:
     The name is everything after the first tab, trimmed; an all-blank name is
     kept as empty text.
     """
-    tab = F.instr("value", "\t")
-    item = strict_int(F.expr("substring(value, 1, instr(value, '\\t') - 1)"))
-    name = trim_control(F.expr("substring(value, instr(value, '\\t') + 1)"))
-    reason = F.when(tab == 0, F.lit("no tab")).when(item.isNull(), F.lit("bad id"))
-    return split_by_reason(lines, reason, {"item": item, "name": name}, "drop")
+    cut = lines.withColumn("_parts", F.split("value", "\t", 2))
+    cut = cut.withColumn("_id", strict_int(F.get("_parts", F.lit(0))))
+    reason = F.when(F.size("_parts") < 2, F.lit("no tab")).when(F.col("_id").isNull(), F.lit("bad id"))
+    fields = {"item": F.col("_id"), "name": trim_control(F.get("_parts", F.lit(1)))}
+    return split_by_reason(cut, reason, fields, "drop", ("_parts", "_id"))
 
 
 def parse_alias(lines: DataFrame, on_error: str = "drop") -> Parsed:
     """``bad_id<TAB>good_id`` lines; a line with an empty first token is left out."""
-    first, second = (F.split_part(F.col("value"), F.lit("\t"), F.lit(i)) for i in (1, 2))
-    bad_id, good_id = strict_int(first), strict_int(second)
-    reason = F.when(bad_id.isNull(), F.lit("bad alias id")).when(
-        good_id.isNull(), F.lit("bad target id")
+    cut = lines.withColumn("_tokens", F.split("value", "\t", -1)).filter(~F.col("value").startswith("\t") & (F.col("value") != ""))
+    cut = cut.withColumns({name: strict_int(F.get("_tokens", F.lit(i))) for i, name in enumerate(("_bad", "_good"))})
+    reason = F.when(F.col("_bad").isNull(), F.lit("bad alias id")).when(
+        F.col("_good").isNull(), F.lit("bad target id")
     )
-    present = lines.filter(first != "")
-    return split_by_reason(present, reason, {"bad_id": bad_id, "good_id": good_id}, on_error)
+    fields = {"bad_id": F.col("_bad"), "good_id": F.col("_good")}
+    return split_by_reason(cut, reason, fields, on_error, ("_tokens", "_bad", "_good"))
 
 
 def parse_facts(lines: DataFrame, on_error: str = "drop") -> Parsed:
     """``user item count`` lines, exactly three integers between single blanks."""
-    text = F.rtrim("value")
-    numbers = [strict_int(F.split_part(text, F.lit(" "), F.lit(i))) for i in (1, 2, 3)]
-    blanks = F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
-    reason = F.when(blanks != 2, F.lit("not three tokens"))
-    for label, number in zip(("user", "item", "count"), numbers):
-        reason = reason.when(number.isNull(), F.lit(f"bad {label}"))
-    user, item, rating = numbers
-    fields = {"user": user, "item": item, "rating": rating.cast("double")}
-    return split_by_reason(lines, reason, fields, on_error)
+    labels = ("user", "item", "count")
+    cut = lines.withColumn("_tokens", F.split(F.rtrim("value"), " ", -1))
+    cut = cut.withColumns({f"_{label}": strict_int(F.get("_tokens", F.lit(i))) for i, label in enumerate(labels)})
+    reason = F.when(F.size("_tokens") != 3, F.lit("not three tokens"))
+    for label in labels:
+        reason = reason.when(F.col(f"_{label}").isNull(), F.lit(f"bad {label}"))
+    fields = {"user": F.col("_user"), "item": F.col("_item"), "rating": F.col("_count").cast("double")}
+    return split_by_reason(cut, reason, fields, on_error, ("_tokens", *(f"_{label}" for label in labels)))
 
 
 def read_dimension(spark: SparkSession, path: str) -> Parsed:

@@ -20,11 +20,11 @@ class Field(NamedTuple):
     def text(self) -> Column:
         return F.substring("value", self.start + 1, self.end - self.start)
 
-    def number(self) -> Column:
-        return strict_int(self.text()) if self.kind == "int" else strict_double(self.text())
+    def number(self, text: Column) -> Column:
+        return strict_int(text) if self.kind == "int" else strict_double(text)
 
-    def value(self) -> Column:
-        scaled = self.number().cast("double")
+    def value(self, number: Column) -> Column:
+        scaled = number.cast("double")
         return scaled if self.scale == 1 else scaled / F.lit(float(self.scale))
 
 
@@ -69,16 +69,20 @@ def parse_fixed_width(
     for name, text in missing.items():
         present = present.filter(by_name[name].text() != text)
 
+    texts, numbers = ({f.name: f"_{kind}_{f.name}" for f in layout} for kind in ("text", "number"))
+    cut = present.withColumns({texts[f.name]: f.text() for f in layout})
+    cut = cut.withColumns({numbers[f.name]: f.number(F.col(texts[f.name])) for f in layout})
     width = max(f.end for f in layout)
     reason = F.when(F.length("value") < width, F.lit("short"))
     for f in layout:
-        reason = reason.when(f.number().isNull(), F.lit(f"bad {f.name}"))
+        reason = reason.when(F.col(numbers[f.name]).isNull(), F.lit(f"bad {f.name}"))
 
     def field_value(f: Field) -> Column:
-        code = null_codes.get(f.name)
-        return f.value() if code is None else F.when(f.text() != code, f.value())
+        code, value = null_codes.get(f.name), f.value(F.col(numbers[f.name]))
+        return value if code is None else F.when(F.col(texts[f.name]) != code, value)
 
-    return split_by_reason(present, reason, {f.name: field_value(f) for f in layout}, on_error)
+    fields = {f.name: field_value(f) for f in layout}
+    return split_by_reason(cut, reason, fields, on_error, (*texts.values(), *numbers.values()))
 
 
 def read_fixed_width(spark: SparkSession, path: str | list[str], **options) -> Parsed:

@@ -8,10 +8,6 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 SURVEY_NUMERIC = ["BMI", "PhysicalHealth", "MentalHealth", "SleepTime"]
 SURVEY_YES_NO_LABEL = "HeartDisease"
 SURVEY_AGE_LABEL = "AgeCategory"
-SURVEY_CATEGORICAL = [
-    "Smoking", "AlcoholDrinking", "Stroke", "DiffWalking", "Sex", "Race", "Diabetic",
-    "PhysicalActivity", "GenHealth", "Asthma", "KidneyDisease", "SkinCancer",
-]
 # The survey's columns in file order.
 SURVEY_COLUMNS = [
     "HeartDisease", "BMI", "Smoking", "AlcoholDrinking", "Stroke", "PhysicalHealth",

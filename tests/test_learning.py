@@ -143,3 +143,48 @@ def test_als_search_and_new_user(spark, ratings):
     assert {r.name for r in shown.collect()} == {f"Unknown({rows[0].item})"} | {f"name {r.item}" for r in rows[1:]}
     line = shown.select(rank_line(F.lit(3), F.lit("x"), F.lit(7), F.lit(0.5))).first()[0]
     assert line == " 3. x (item=7, score=0.5000)"
+
+
+def test_forests_do_not_follow_the_session(spark, table):
+    def predictions(partitions):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            study = survey.forest_study(
+                table.repartition(int(partitions)), ["size"], ["color"], "answer", ["key"],
+                points=tuning.grid(impurity=["gini"], maxDepth=[3], maxBins=[16], numTrees=[5]), folds=2,
+            )
+            return sorted(map(tuple, study.scored.collect()))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+
+    assert predictions("4") == predictions("19")
+
+
+def test_indexed_columns_with_many_levels_need_no_more_bins(spark):
+    rows = spark.range(900).selectExpr(
+        "id AS key", "concat('c', id % 45) AS color", "id % 7 / 7 AS size", "IF(id % 45 < 20, 'Yes', 'No') AS answer"
+    )
+    study = survey.tree_study(
+        rows, ["size"], ["color"], "answer", ["key"],
+        points=tuning.grid(impurity=["gini"], maxDepth=[3], maxBins=[20]), search="tvs",
+    )
+    assert study.search.model.stages[-1].getMaxBins() == 20 and study.report.count() > 0
+
+
+def test_lists_without_seen_items_are_filled_up(spark):
+    facts = spark.range(4000).selectExpr("CAST(id % 40 AS INT) AS user", "CAST((id * 7 + id DIV 40) % 90 AS INT) AS item", "1.0D AS rating")
+    facts = facts.distinct()
+    model = factors.fit_als(facts, rank=4, iterations=2)
+    n_items = facts.select("item").distinct().count()
+    lists = factors.recommend_unseen(model, facts, facts, k=20)
+    seen = {r["user"]: r["n"] for r in facts.groupBy("user").agg(F.count("*").alias("n")).collect()}
+    found = {r["user"]: r["count"] for r in lists.groupBy("user").count().collect()}
+    assert found == {u: min(20, n_items - n) for u, n in seen.items() if n < n_items}
+    assert lists.join(facts, ["user", "item"]).count() == 0
+
+
+def test_a_new_user_needs_enough_fetched_items(spark):
+    facts = spark.createDataFrame([(1, 1, 1.0)], "user long, item long, rating double")
+    with pytest.raises(ValueError):
+        factors.new_user_recommendations(facts, facts, {}, n_rated=8, fetch=30, keep=25)

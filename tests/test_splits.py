@@ -5,7 +5,7 @@ from tallyforge.functions.hashing import salted_md5
 from tallyforge.operators import splits
 from tallyforge.operators.relational import item_sets, resolve_alias
 from tallyforge.operators.running import running_totals
-from tallyforge.operators.skew import big_groups, group_sizes, hash_ranks
+from tallyforge.operators.skew import cut_groups, group_sizes, hash_ranks
 
 
 @pytest.fixture(scope="module")
@@ -26,16 +26,28 @@ def as_rows(df):
 def test_cut_groups_give_the_same_ranks(facts):
     order = salted_md5("t", 1, "key")
     plain = hash_ranks(facts, ["user"], order, ["key"])
-    cut = hash_ranks(facts, ["user"], order, ["key"], min_rows=20, max_groups=16)
-    assert big_groups(group_sizes(facts, ["user"]), ["user"], 20, 16).agg(F.max("_ranges")).first()[0] > 4
+    cut = hash_ranks(facts, ["user"], order, ["key"], range_rows=20, repeated=False)
+    assert cut_groups(group_sizes(facts, ["user"]), ["user"], 20).agg(F.max("_ranges")).first()[0] == 50
     assert as_rows(plain) == as_rows(cut)
     assert [r["rank"] for r in cut.filter("user = 0").orderBy("rank").collect()] == list(range(1, 1001))
 
 
-def test_big_groups_are_few(facts):
-    hot = big_groups(group_sizes(facts, ["user"]), ["user"], min_rows=1, max_groups=8)
-    row = hot.agg(F.count("*").alias("n"), F.sum("_ranges").alias("r")).first()
-    assert row["n"] == 8 and row["r"] <= 16
+def test_any_number_of_groups_is_cut(spark):
+    rows = spark.range(20_000).select((F.col("id") % 5000).alias("user"), F.col("id").alias("key"))
+    hot = cut_groups(group_sizes(rows, ["user"]), ["user"], range_rows=2)
+    assert hot.agg(F.count("*"), F.min("_ranges"), F.max("_ranges")).first() == (5000, 2, 2)
+    order = salted_md5("t", 1, "key")
+    ranked = hash_ranks(rows, ["user"], order, ["key"], range_rows=2)
+    assert as_rows(ranked) == as_rows(hash_ranks(rows, ["user"], order, ["key"]))
+
+
+def test_equal_rows_of_one_user_are_ranked_without_gaps(spark):
+    rows = spark.range(30_000).select(F.lit(7).alias("user"), (F.col("id") % 3).alias("item"))
+    ranked = hash_ranks(rows, ["user"], salted_md5("t", 1, "item"), ["item"], range_rows=500)
+    found = ranked.orderBy("rank").collect()
+    assert [r["rank"] for r in found] == list(range(1, 30_001))
+    assert {r["group_rows"] for r in found} == {30_000}
+    assert all(sum(r["item"] == i for r in found) == 10_000 for i in range(3))
 
 
 def test_user_split(facts):
@@ -44,7 +56,7 @@ def test_user_split(facts):
         F.count("*").alias("n"), F.count_if(F.col("split") == "train").alias("train")
     ).collect()
     assert all(r.train == max(1, int(r.n * 0.8)) for r in per_user)
-    assert as_rows(split) == as_rows(splits.user_split(facts.repartition(7), ["key"], min_rows=20))
+    assert as_rows(split) == as_rows(splits.user_split(facts.repartition(7), ["key"], range_rows=20))
     assert split.count() == facts.count()
 
 
