@@ -18,10 +18,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallyforge.functions.scalar import rank_line
 from tallyforge.operators import features, metrics, ranking, relational as rel, splits
 from tallyforge.plans import fixtures as fx
-from tallyforge.plans import model_queries, recommender
+from tallyforge.plans import model_queries, recommender, survey
 from tallyforge.session import write_intermediate
 from tallyforge.sources.delimited import read_alias, read_dimension, read_facts
 from tallyforge.sources.fixed_width import read_fixed_width
+from tallyforge.sources.survey import read_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +62,14 @@ def fact_rejects(spark, sf_dir):
     return _count_by(read_facts(spark, fx.fact_files(spark, sf_dir)).rejects, "reason")
 
 
+def survey_csv(spark, sf_dir):
+    rows = read_csv(spark, fx.survey_files(spark, sf_dir))
+    return rows.groupBy("HeartDisease", "Smoking", "AgeCategory", "Race", "Asthma").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("BMI").alias("bmi"), F.count("MentalHealth").alias("n_mental"),
+        F.round(F.sum("SleepTime"), 4).alias("sleep"),
+    )
+
+
 def load_shape(spark, sf_dir):
     shapes = None
     for name in ("customer", "events", "lineitem", "orders", "part", "supplier"):
@@ -254,6 +263,11 @@ def binary_rates(spark, sf_dir):
     return fx.rounded(rates, 9, "precision", "recall", "accuracy", "class_accuracy")
 
 
+def binary_report(spark, sf_dir):
+    report = survey.binary_report(fx.judged(spark, sf_dir).withColumnRenamed("fine_score", "score"))
+    return fx.rounded(report, 8, "value")
+
+
 def binary_rates_zero(spark, sf_dir):
     """Nothing is predicted, so one denominator is zero."""
     rates = metrics.binary_rates(fx.judged(spark, sf_dir).withColumn("prediction", F.lit(0.0)))
@@ -405,6 +419,7 @@ QUERIES: dict[str, Query] = {
     "parse_alias": parse_alias_lines,
     "parse_facts": parse_fact_lines,
     "fact_rejects": fact_rejects,
+    "survey_csv": survey_csv,
     "load_shape": load_shape,
     "alias_resolve": alias_resolve,
     "alias_merge": alias_merge,
@@ -434,6 +449,7 @@ QUERIES: dict[str, Query] = {
     "binary_confusion": binary_confusion,
     "binary_rates": binary_rates,
     "binary_rates_zero": binary_rates_zero,
+    "binary_report": binary_report,
     "binary_auc": binary_auc,
     "binary_auc_ties": binary_auc_ties,
     "multiclass_confusion": multiclass_confusion,

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyforge.functions.hashing import bucket
+from tallyforge.sources.survey import SURVEY_COLUMNS
 from tallyforge.session import intermediate_path, write_intermediate
 
 ROW_KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
@@ -90,6 +91,20 @@ def survey_like(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def survey_files(spark: SparkSession, sf_dir: str) -> str:
+    """CSV files with header in the survey's columns; some numbers are missing, one text needs quotes."""
+    values = {
+        "HeartDisease": F.col("answer"), "BMI": F.col("l_quantity"), "Smoking": F.col("l_returnflag"),
+        "PhysicalHealth": F.col("l_linenumber"), "AgeCategory": F.col("l_linestatus"),
+        "MentalHealth": F.when(F.col("l_tax") != 0.08, F.col("l_discount")), "SleepTime": F.col("l_tax"),
+        "Race": F.when(F.col("l_quantity") > 25, 'a, "b"').otherwise("c"),
+    }
+    path = intermediate_path(spark, "survey")
+    rows = labelled(spark, sf_dir).select(*[values.get(c, F.lit("No")).alias(c) for c in SURVEY_COLUMNS])
+    rows.write.option("header", True).csv(path)
+    return path
+
+
 def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with a label, a rule's prediction and two scores."""
     return labelled(spark, sf_dir).select(

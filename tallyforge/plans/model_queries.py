@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyforge.operators import factors, tuning
+from tallyforge.operators.splits import synthetic_user
 from tallyforge.plans import fixtures as fx, recommender, survey, weather
 from tallyforge.sources.fixed_width import read_fixed_width
 
@@ -51,6 +52,32 @@ def als_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return factors.recommend(factors.fit_als(data.train), data.test)
 
 
+def als_list_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per held-out user the length of the list and how many scores are the product of the factors, in order."""
+    data = prepared(spark, sf_dir)
+    model = factors.fit_als(data.train)
+    lists = factors.recommend(model, data.test)
+    users, items = (
+        f.select(F.col("id").cast("bigint").alias(name), F.col("features").alias(f"_{name}"))
+        for f, name in ((model.userFactors, "user"), (model.itemFactors, "item"))
+    )
+    product = F.aggregate(F.zip_with("_user", "_item", lambda a, b: (a * b).cast("double")), F.lit(0.0), lambda t, x: t + x)
+    same = F.abs(product - F.col("score")) < 1e-4
+    return lists.join(users, "user").join(items, "item").groupBy("user").agg(
+        F.count(F.lit(1)).alias("n_items"), F.countDistinct("item").alias("n_different"), F.count_if(same).alias("n_products")
+    )
+
+
+def new_user_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The new user's id, the length of the list and how many rated items are on it."""
+    data = prepared(spark, sf_dir)
+    found = factors.new_user_recommendations(data.facts, data.train, {"rank": 10, "regParam": 0.1, "alpha": 1.0})
+    rated = synthetic_user(data.facts).select("item", F.lit(1).alias("_rated"))
+    return found.join(rated, "item", "left").groupBy("user").agg(
+        F.countDistinct("item").alias("n_items"), F.count("_rated").alias("n_rated")
+    )
+
+
 def als_test_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = prepared(spark, sf_dir)
     return factors.held_out_metrics(factors.fit_als(data.train), data.test)
@@ -76,6 +103,8 @@ QUERIES = {
     "lr_tvs": lr_tvs,
     "rf_regress": rf_regress,
     "als_topk": als_topk,
+    "als_list_check": als_list_check,
+    "new_user_check": new_user_check,
     "als_test_metrics": als_test_metrics,
     "als_search": als_search,
     "new_user_top25": new_user_top25,

@@ -185,6 +185,11 @@ FROM {LINES} WHERE l_tax <> 0.08 AND l_quantity <> 50""",
     "fact_rejects": f"""
 SELECT CASE WHEN l_tax = 0.08 THEN 'not three tokens' ELSE 'bad count' END AS reason, count(*) AS n
 FROM {LINES} WHERE l_tax = 0.08 OR l_quantity = 50 GROUP BY 1""",
+    "survey_csv": f"""
+SELECT CASE WHEN l_quantity + {_hash('noise', ROW_TEXT)} % 30 > 45 THEN 'Yes' ELSE 'No' END AS "HeartDisease",
+  l_returnflag AS "Smoking", l_linestatus AS "AgeCategory", CASE WHEN l_quantity > 25 THEN 'a, "b"' ELSE 'c' END AS "Race",
+  'No' AS "Asthma", count(*) AS n, sum(l_quantity) AS bmi, count(*) FILTER (l_tax <> 0.08) AS n_mental, round(sum(l_tax), 4) AS sleep
+FROM lineitem GROUP BY ALL""",
     "load_shape": " UNION ALL ".join(
         _shape(t, n)
         for t, n in (("customer", 5), ("events", 6), ("lineitem", 11), ("orders", 6), ("part", 6), ("supplier", 4))
@@ -292,6 +297,20 @@ WITH {CONFUSION}
 SELECT 0::BIGINT AS tp, tn + fp AS tn, 0::BIGINT AS fp, fn + tp AS fn, 0.0::DOUBLE AS precision, 0.0::DOUBLE AS recall,
   round((tn + fp)::DOUBLE / (tp + tn + fp + fn), 9) AS accuracy, 0.5::DOUBLE AS class_accuracy
 FROM c""",
+    "binary_report": f"""
+WITH rates AS (WITH {CONFUSION}
+  SELECT tp::DOUBLE AS tp, tn::DOUBLE AS tn, fp::DOUBLE AS fp, fn::DOUBLE AS fn,
+    round(tp::DOUBLE / (tp + fp), 8) AS precision, round(tp::DOUBLE / (tp + fn), 8) AS recall,
+    round((tp + tn)::DOUBLE / (tp + tn + fp + fn), 8) AS accuracy,
+    round((tp::DOUBLE / (tp + fn) + tn::DOUBLE / (tn + fp)) / 2, 8) AS class_accuracy FROM c),
+areas AS ({_curve("fine")})
+SELECT metric, value FROM (UNPIVOT rates ON tp, tn, fp, fn, precision, recall, accuracy, class_accuracy INTO NAME metric VALUE value)
+UNION ALL SELECT 'roc_auc', roc_auc FROM areas UNION ALL SELECT 'pr_auc', pr_auc FROM areas""",
+    "als_list_check": f"""
+WITH {SPLIT} SELECT DISTINCT "user", 50::BIGINT AS n_items, 50::BIGINT AS n_different, 50::BIGINT AS n_products
+FROM split WHERE split = 'test'""",
+    "new_user_check": f"""
+WITH {FACTS} SELECT max("user") + 1 AS "user", 25::BIGINT AS n_items, 0::BIGINT AS n_rated FROM facts""",
     "binary_auc": _curve("fine"),
     "binary_auc_ties": _curve("coarse"),
     "multiclass_confusion": f"WITH {CLASSES} SELECT label, prediction, count(*) AS n FROM classes GROUP BY ALL",
