@@ -15,7 +15,7 @@ from tallyforge.llm.metric_join import LIMIT, links_within
 from tallyforge.llm.scratch import drop, reach_package, store
 from tallyforge.llm.shingles import Shingler
 
-ORDER_BITS = 18  # shingles are ranked by the corpus counts of 2 ** ORDER_BITS buckets
+ORDER_BITS = 19  # shingles are ranked by their rarest word; words are counted in 2 ** ORDER_BITS buckets
 CHUNKS = 64  # parts of the count vector that are added up apart
 BINS = 128  # of a folded set
 
@@ -31,7 +31,8 @@ def similarity_classes(
     1. Equal sets are one point with its smallest key.
     2. Singletons {s} are the first pivots.  A set is at distance 1 - 1/|A| from the
        singletons of its own shingles and at 1 from all others, so its nearest pivots tie;
-       the shingle that is rarest in the corpus breaks the tie and names its region.  Sets
+       the shingle with the word that is rarest in the corpus breaks the tie and names its
+       region.  Sets
        within the threshold share at least num/den of the larger one's shingles, so a set
        is replicated to the regions of its first |A| - ceil(num/den |A|) + 1 shingles in
        that order, and any two that link meet in the region of their first common one.
@@ -51,17 +52,16 @@ def similarity_classes(
     spark = docs.sparkSession
     reach_package(spark)
     source = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    order = spark.sparkContext.broadcast(_corpus_counts(source, size))  # 2 ** ORDER_BITS numbers
+    order = spark.sparkContext.broadcast(_corpus_counts(source))  # 2 ** ORDER_BITS numbers
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(size)
         for batch in batches:
             rows = []
             for one in batch.column(1).to_pylist():
-                s = shingler(one)
+                s, rank = shingler.with_ranks(one, order.value)
                 n = len(s)
                 home = n - -(-num * n // den) + 1 if n else 0
-                rank = order.value[(s >> np.uint64(64 - ORDER_BITS)).astype(np.int64)]
                 folded = np.bincount((s & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS).astype("<u2" if n < 1 << 16 else "<u4")
                 rows.append((n, _digest(s), s[np.lexsort((s, rank))[:home]].astype("<u8").tobytes(), folded.tobytes()))
             n, digest, regions, folded = zip(*rows) if rows else [()] * 4
@@ -141,15 +141,15 @@ def _digest(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.astype("<u8").tobytes(), digest_size=16).digest()
 
 
-def _corpus_counts(source: DataFrame, size: int) -> np.ndarray:
-    """Documents' shingles by bucket, over all rows; added up in the tasks and by chunk of the vector."""
+def _corpus_counts(source: DataFrame) -> np.ndarray:
+    """Words by bucket, over all rows; added up in the tasks and by chunk of the vector."""
     width = (1 << ORDER_BITS) // CHUNKS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, total = Shingler(size), np.zeros(1 << ORDER_BITS, dtype=np.int64)
+        shingler, total = Shingler(1), np.zeros(1 << ORDER_BITS, dtype=np.int64)
         for batch in batches:
             for one in batch.column(0).to_pylist():
-                np.add.at(total, (shingler(one) >> np.uint64(64 - ORDER_BITS)).astype(np.int64), 1)
+                np.add.at(total, (shingler.codes(one) >> np.uint64(64 - ORDER_BITS)).astype(np.int64), 1)
         parts = [p.tobytes() for p in total.reshape(CHUNKS, width)]
         yield pa.record_batch([pa.array(range(CHUNKS), pa.int32()), pa.array(parts, pa.binary())], ["chunk", "counts"])
 

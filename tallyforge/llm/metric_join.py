@@ -13,6 +13,7 @@ from tallyforge.llm.local_union import Union
 from tallyforge.llm.scratch import drop, store
 
 LIMIT = 2000  # rows of a group that one task compares
+LIMIT_BYTES = 1 << 24  # and bytes of their sets
 PIVOTS = 16  # of a larger group
 SLACK = 1e-6  # of windows, against rounding
 
@@ -113,8 +114,8 @@ def links_within(
     """Links (u, v) that connect exactly the rows connected by links inside the groups, and stored paths.
 
     rows: group long, id long, payload binary; kind: "sets" or the number type of folded
-    counts.  A group of up to `limit` rows is one task's work (Space.classes).  A larger
-    one is split: some PIVOTS rows by hash are pivots, every row learns its distances to
+    counts.  A group of up to `limit` rows and LIMIT_BYTES is one task's work
+    (Space.classes).  A larger one is split: some PIVOTS rows by hash are pivots, every row learns its distances to
     them and links to those it reaches.  The rows linked to the pivot with most links, or
     to a pivot that links to that one, are one class already; the others, the boundary,
     meet all rows of the group in blocks of `limit`, boundary against home, and compare
@@ -135,7 +136,9 @@ def links_within(
                     yield _links(np.array(ids)[moved], np.array(ids)[root[moved]])
         yield from pairs.flush()
 
-    sizes, sizes_path = store(rows.groupBy("group").agg(F.count("*").alias("size")).filter(F.col("size") > limit), f"{label}-large")
+    sizes = rows.groupBy("group").agg(F.count("*").alias("size"), F.sum(F.octet_length("payload")).alias("bytes"))
+    blocks = F.greatest(F.ceil(F.col("size") / limit), F.ceil(F.col("bytes") / LIMIT_BYTES)).cast("int")
+    sizes, sizes_path = store(sizes.select("group", "size", blocks.alias("blocks")).filter("blocks > 1 AND size > 2"), f"{label}-large")
     if sizes.isEmpty():
         drop(rows.sparkSession, sizes_path)
         found = rows.repartition("group").sortWithinPartitions("group", "id").mapInArrow(small, u_v)
@@ -144,7 +147,6 @@ def links_within(
     few = rows.join(sizes, "group", "left_anti").repartition("group").sortWithinPartitions("group", "id").mapInArrow(small, u_v)
 
     many = rows.join(sizes, "group").dropDuplicates(["group", "id"])
-    many = many.withColumn("blocks", F.ceil(F.col("size") / limit).cast("int"))
     many = many.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     chance = F.pmod(F.xxhash64("id", F.lit("pivot")), F.lit(1 << 40)) / F.lit(float(1 << 40))
     pivots = many.filter(chance * F.col("size") < PIVOTS).select("group", "id", "payload", "blocks")
@@ -169,7 +171,6 @@ def links_within(
     sure = reached.join(centre, "group").filter(F.col("id") == F.col("centre")).select("group", "pivot").union(centre.select("group", F.col("centre").alias("pivot"))).distinct()
     core = reached.join(sure, ["group", "pivot"], "left_semi").select("group", "id").distinct()
     edge = measured.join(core, ["group", "id"], "left_anti").join(sizes, "group")
-    edge = edge.withColumn("blocks", F.ceil(F.col("size") / limit).cast("int"))
     meet = edge.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     meet = meet.select("group", F.col("block").alias("from"), "to", F.lit(0).alias("home"), "id", "payload", "distances")
     wanted = meet.select("group", "from", "to").distinct()

@@ -27,17 +27,43 @@ class Shingler:
     def __init__(self, size: int):
         self.size, self.words = size, _Words()
 
-    def __call__(self, text: str | None) -> np.ndarray:
+    def codes(self, text: str | None) -> np.ndarray:
+        """Hashes of the words of a text."""
         words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        if not words:
-            return np.empty(0, np.uint64)
-        codes = np.fromiter(map(self.words.__getitem__, words), dtype=np.uint64, count=len(words))
+        return np.fromiter(map(self.words.__getitem__, words), dtype=np.uint64, count=len(words))
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        mixed = self._all(self.codes(text))
+        mixed.sort()
+        return mixed[_first_of_equal(mixed)]
+
+    def with_ranks(self, text: str | None, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The shingles, and of each the least count of its words; counts is a vector by the words' top bits."""
+        codes = self.codes(text)
+        mixed = self._all(codes)
+        if not len(mixed):
+            return mixed, np.empty(0, counts.dtype)
+        of_word = counts[(codes >> np.uint64(64 - (len(counts) - 1).bit_length())).astype(np.int64)]
+        rank = of_word[: len(mixed)].copy()
+        for k in range(1, len(codes) - len(mixed) + 1):
+            np.minimum(rank, of_word[k : k + len(mixed)], out=rank)
+        order = np.argsort(mixed, kind="stable")
+        mixed = mixed[order]
+        first = _first_of_equal(mixed)
+        return mixed[first], rank[order][first]
+
+    def _all(self, codes: np.ndarray) -> np.ndarray:
+        if not len(codes):
+            return codes
         size = min(self.size, len(codes))
         mixed = _mix(codes[: len(codes) - size + 1] + np.uint64(size))
         for k in range(1, size):
             mixed = _mix(mixed + codes[k : len(codes) - size + 1 + k])
-        mixed.sort()
-        return mixed[np.append(True, mixed[1:] != mixed[:-1])]
+        return mixed
+
+
+def _first_of_equal(ascending: np.ndarray) -> np.ndarray:
+    return np.append(True, ascending[1:] != ascending[:-1])[: len(ascending)]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
