@@ -17,7 +17,7 @@ from tallyforge.llm.shingles import Shingler
 
 ORDER_BITS = 19  # shingles are ranked by their rarest word; words are counted in 2 ** ORDER_BITS buckets
 CHUNKS = 64  # parts of the count vector that are added up apart
-BINS = 128  # of a folded set
+BINS, FINE = 128, 2048  # of a folded set, and of one folded less
 
 
 def similarity_classes(
@@ -39,7 +39,8 @@ def similarity_classes(
        (Document pivots can't make this first cut: unrelated texts are all at distance 1.)
     3. In every region metric_join works on the folded sets, whose distance is a metric
        below the Jaccard distance: pivots, Voronoi regions, windows, blocks for regions
-       that are too large for a task.  The classes it leaves are candidates.
+       that are too large for a task.  The classes it leaves are candidates;
+       in each of them the same is done once more with finer folds, which part long texts.
     4. In every class metric_join works on the sets themselves, read again from the texts.
     The counts behind the order cover all rows; they decide how fast the join is, not what
     it finds.  Copies and near copies of any number cost a region each, never all pairs.
@@ -62,19 +63,22 @@ def similarity_classes(
                 s, rank = shingler.with_ranks(one, order.value)
                 n = len(s)
                 home = n - -(-num * n // den) + 1 if n else 0
-                folded = np.bincount((s & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS).astype("<u2" if n < 1 << 16 else "<u4")
-                rows.append((n, _digest(s), s[np.lexsort((s, rank))[:home]].astype("<u8").tobytes(), folded.tobytes()))
-            n, digest, regions, folded = zip(*rows) if rows else [()] * 4
+                folded, fine = (
+                    np.bincount((s & np.uint64(bins - 1)).astype(np.int64), minlength=bins).astype("<u2" if n < 1 << 16 else "<u4").tobytes()
+                    for bins in (BINS, FINE)
+                )
+                rows.append((n, _digest(s), s[np.lexsort((s, rank))[:home]].astype("<u8").tobytes(), folded, fine))
+            n, *binaries = zip(*rows) if rows else [()] * 5
             yield pa.record_batch(
-                [batch.column(0), pa.array(n, pa.int64()), *(pa.array(c, pa.binary()) for c in (digest, regions, folded))],
-                ["id", "n", "digest", "regions", "folded"],
+                [batch.column(0), pa.array(n, pa.int64()), *(pa.array(c, pa.binary()) for c in binaries)],
+                ["id", "n", "digest", "regions", "folded", "fine"],
             )
 
-    described, described_path = store(source.mapInArrow(describe, "id long, n long, digest binary, regions binary, folded binary"), "sets")
+    described, described_path = store(source.mapInArrow(describe, "id long, n long, digest binary, regions binary, folded binary, fine binary"), "sets")
     points = (
         described.filter("n > 0")
         .groupBy("digest")
-        .agg(F.min("id").alias("id"), F.max("n").alias("n"), F.min("regions").alias("regions"), F.min("folded").alias("folded"))
+        .agg(F.min("id").alias("id"), F.max("n").alias("n"), *(F.min(c).alias(c) for c in ("regions", "folded", "fine")))
         .filter("id IS NOT NULL")
         .withColumn("point", F.monotonically_increasing_id())
     )
@@ -91,7 +95,7 @@ def similarity_classes(
 
     homes = points.select("point", "regions").mapInArrow(explode, "group long, id long").repartition("group").sortWithinPartitions("group")
     shared, shared_path = store(homes.mapInArrow(_not_alone, "group long, id long"), "regions")
-    folded = points.select(F.col("point").alias("id"), "n", "folded")
+    folded, fine = (points.select(F.col("point").alias("id"), "n", c) for c in ("folded", "fine"))
 
     def widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,6 +108,14 @@ def similarity_classes(
     near, near_paths = links_within(in_regions, kind, num, den, limit, "candidates")
     candidates, candidates_path = components(near, "candidate-classes")
     drop(spark, shared_path, in_regions_path, *near_paths)
+    member = candidates.select(F.col("node").alias("id"), F.col("component").alias("group"))
+    in_classes, in_classes_path = store(
+        member.join(fine.mapInArrow(widen, "id long, payload binary"), "id").select("group", "id", "payload"), "fine"
+    )
+    nearer, nearer_paths = links_within(in_classes, kind, num, den, limit, "nearer")
+    drop(spark, candidates_path)
+    candidates, candidates_path = components(nearer, "nearer-classes")
+    drop(spark, in_classes_path, *nearer_paths)
 
     wanted = points.join(candidates, F.col("point") == F.col("node")).select(F.col("component").alias("group"), "point", F.col("id").alias("_id"), "digest")
     texts = source.join(wanted, F.col("id") == F.col("_id")).select("group", "point", "digest", "text")

@@ -30,6 +30,8 @@ class Sets:
 
     def common(self, i: int, rows: np.ndarray) -> np.ndarray:
         """Elements that set i shares with each of the sets in rows (ascending)."""
+        if not len(rows):
+            return np.empty(0, np.int64)
         own = self.codes[self.ends[i] - self.sizes[i] : self.ends[i]]
         self.marked[own] = 1
         if len(rows) == len(self.sizes):

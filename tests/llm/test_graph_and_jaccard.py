@@ -72,6 +72,8 @@ def corpus(seed=1):
         chain = list(chain)
         chain[dice.randrange(200)] = dice.choice(words)
         texts.append(chain)
+    long = [dice.choices(words, k=4000) for _ in range(3)]
+    texts += [t for base in long for t in (base, base[:3900] + dice.choices(words, k=100), base[200:])]
     passage = dice.choices(words, k=80)
     texts += [dice.choices(words, k=30) + passage for _ in range(15)]
     texts += [dice.choices(words, k=dice.randint(1, 8)) for _ in range(20)]
