@@ -35,7 +35,8 @@ class Pieces:
         ids = range(model.get_piece_size())
         self.text = [model.id_to_piece(i) for i in ids]
         self.byte = {int(self.text[i][3:5], 16): i for i in ids if model.is_byte(i)}
-        self.value = {i: b for b, i in self.byte.items()}
+        value = {i: bytes([b]) for b, i in self.byte.items()}
+        self.raw = [value.get(i, self.text[i].encode()) for i in ids]
         usual = [i for i in ids if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
         self.unknown = min((s for i in usual if (s := model.get_score(i)) > LOWEST), default=0.0) - 10
         self.unknown_id = model.unk_id()
@@ -106,45 +107,58 @@ class Pieces:
         return np.array(self.ids_of(text, path), "<u4").tobytes(), ahead[n], ahead[n] - second
 
     def best_of_many(self, texts: list[str]) -> list[tuple[bytes, float, float]]:
-        """best() of texts of one length, all at once; of equal scores the longer last piece wins, as there."""
-        n = len(texts[0])
-        codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4").reshape(-1, n)
-        m, longest = len(codes), min(n, self.hashed.longest)
-        score, piece = [], []  # by length - 1: of the edge from every start, -inf if there is none
-        for size, found in zip(range(1, longest + 1), self.hashed.look_up(codes)):
-            known = np.append(self.hashed.scores, self.unknown if size == 1 else -np.inf)
-            score.append(known[found])  # -1 is the last entry
-            piece.append(found)
-        ahead, via = np.zeros((m, n + 1)), np.zeros((m, n + 1), int)
+        """best() of texts of one length, all at once; of equal scores the longer last piece wins, as there.
+
+        Arrays have a row per character and a column per text.
+        """
+        n, m = len(texts[0]), len(texts)
+        codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4").reshape(m, n).T
+        longest = min(n, self.hashed.longest)
+        piece = list(self.hashed.look_up(np.ascontiguousarray(codes)))  # by length - 1: of the edge from every start
+        score = [self.hashed.scores[found] for found in piece]  # the last entry, for -1, is minus infinity
+        score[0] = np.where(piece[0] < 0, self.unknown, score[0])
+        ahead, via = np.zeros((n + 1, m)), np.zeros((n + 1, m), np.int8)
         for j in range(1, n + 1):
-            sizes = range(min(longest, j), 0, -1)
-            ways = np.stack([ahead[:, j - k] + score[k - 1][:, j - k] for k in sizes])
-            pick = ways.argmax(axis=0)
-            ahead[:, j], via[:, j] = ways[pick, np.arange(m)], min(longest, j) - pick
-        behind = np.zeros((m, n + 1))
+            top = min(longest, j)
+            best, size = ahead[j - top] + score[top - 1][j - top], np.full(m, top, np.int8)
+            for k in range(top - 1, 0, -1):
+                way = ahead[j - k] + score[k - 1][j - k]
+                better = way > best
+                best = np.where(better, way, best)
+                size[better] = k
+            ahead[j], via[j] = best, size
+        behind = np.zeros((n + 1, m))
         for i in range(n - 1, -1, -1):
-            behind[:, i] = np.max([score[k - 1][:, i] + behind[:, i + k] for k in range(1, min(longest, n - i) + 1)], axis=0)
-        at, steps = np.full(m, n), np.zeros(m, int)
-        backward, off = np.zeros((m, n), int), [s.copy() for s in score]
-        while (rows := np.flatnonzero(at)).size:
-            size = via[rows, at[rows]]
-            for k in np.unique(size):
-                own = rows[size == k]
+            best = score[0][i] + behind[i + 1]
+            for k in range(2, min(longest, n - i) + 1):
+                np.maximum(best, score[k - 1][i] + behind[i + k], out=best)
+            behind[i] = best
+        at, used = np.full(m, n), np.zeros(m, int)
+        ids, off = np.zeros((m, n), "<u4"), [s.copy() for s in score]  # ids end at the right
+        whole, real = np.ones(m, bool), self.hashed.ids
+        columns = np.arange(m)
+        while len(columns):
+            size = via[at[columns], columns]
+            for k in np.flatnonzero(np.bincount(size)):
+                own = columns[size == k]
                 start = at[own] - k
-                backward[own, steps[own]] = piece[k - 1][own, start]
-                off[k - 1][own, start] = -np.inf
-            at[rows] -= size
-            steps[rows] += 1
-        second = np.max([(ahead[:, : n - k + 1] + off[k - 1] + behind[:, k:]).max(axis=1) for k in range(1, longest + 1)], axis=0)
-        real = np.append(self.hashed.ids, -1)
-        out = []
-        for row, (text, used) in enumerate(zip(texts, steps.tolist())):
-            ids = real[backward[row, :used][::-1]]
-            if (ids < 0).any():
-                out.append(self.best(text))
-            else:
-                out.append((ids.astype("<u4").tobytes(), float(ahead[row, n]), float(ahead[row, n] - second[row])))
-        return out
+                found = piece[k - 1][start, own]
+                whole[own] &= found >= 0
+                used[own] += 1
+                ids[own, n - used[own]] = real[found]
+                off[k - 1][start, own] = -np.inf
+                at[own] = start
+            columns = columns[at[columns] > 0]
+        second = np.full(m, -np.inf)
+        for k in range(1, longest + 1):
+            for i in range(n - k + 1):
+                np.maximum(second, ahead[i] + off[k - 1][i] + behind[i + k], out=second)
+        buffer, begin = ids.tobytes(), (4 * (n - used)).tolist()
+        rows = zip(texts, whole.tolist(), begin, ahead[n].tolist(), (ahead[n] - second).tolist())
+        return [
+            (buffer[4 * n * row + first : 4 * n * (row + 1)], total, gap) if known else self.best(text)
+            for row, (text, known, first, total, gap) in enumerate(rows)
+        ]
 
     def learn(self, stretches: set[str], seen: dict) -> None:
         """Put the best paths of stretches into seen."""
@@ -236,7 +250,7 @@ class Pieces:
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of ids: bytes are put together, SPACE is a blank, the first blank is dropped."""
-        raw = b"".join(bytes([self.value[i]]) if i in self.value else self.text[i].encode() for i in ids.tolist())
+        raw = b"".join(map(self.raw.__getitem__, ids.tolist()))
         return raw.decode("utf-8", "surrogatepass").replace(SPACE, " ").removeprefix(" ")
 
 
@@ -246,8 +260,8 @@ class _Hashed:
     BITS = 18
 
     def __init__(self, edges: dict[str, tuple[int, float]]):
-        self.ids = np.array([i for i, _ in edges.values()])
-        self.scores = np.array([s for _, s in edges.values()], float)
+        self.ids = np.array([i for i, _ in edges.values()] + [0])
+        self.scores = np.array([s for _, s in edges.values()] + [-np.inf])
         self.longest = max(map(len, edges), default=1)
         hashes = np.zeros(len(edges), np.uint64)
         sizes = np.array([len(p) for p in edges])
@@ -255,7 +269,7 @@ class _Hashed:
         for size in set(sizes.tolist()):
             rows = np.flatnonzero(sizes == size)
             codes = np.frombuffer("".join(names[r] for r in rows).encode("utf-32-le"), "<u4").reshape(-1, size)
-            hashes[rows] = list(self._rolling(codes))[-1][:, 0]
+            hashes[rows] = list(self._rolling(codes.T))[-1][0]
         if len(np.unique(hashes)) < len(hashes):
             raise ValueError("two pieces share a hash")
         self.slots, self.hashes = np.full(1 << self.BITS, -1), hashes
@@ -270,12 +284,12 @@ class _Hashed:
 
     @staticmethod
     def _rolling(codes: np.ndarray) -> Iterator[np.ndarray]:
-        """Hashes of all substrings of 1, 2, ... characters of every row."""
+        """Hashes of all substrings of 1, 2, ... characters of every column, by start."""
         codes = codes.astype(np.uint64) + np.uint64(1)
         rolling = codes * np.uint64(0x9E3779B97F4A7C15)
-        for size in range(1, codes.shape[1] + 1):
+        for size in range(1, codes.shape[0] + 1):
             if size > 1:
-                rolling = (rolling[:, :-1] ^ (rolling[:, :-1] >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + codes[:, size - 1 :]
+                rolling = (rolling[:-1] ^ (rolling[:-1] >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + codes[size - 1 :]
             yield (rolling ^ (rolling >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
 
     def look_up(self, codes: np.ndarray) -> Iterator[np.ndarray]:
