@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyforge.llm.scratch import store
+
 # Words that a line of a licence note has one of, and names of licence files.
 VOCABULARY = r"licen[cs]e|copyright|permission|redistribut|warrant|liab|rights reserved|spdx|public domain"
 NOTE = rf"(?im)(?:^.*(?:{VOCABULARY}).*$\n?)+"
@@ -74,10 +76,10 @@ def scan(
         F.coalesce(F.col(text), F.lit("")).alias("_text"),
     )
     notes = F.when(F.rlike("_text", F.lit(f"(?i){VOCABULARY}")), F.regexp_extract_all("_text", F.lit(NOTE), F.lit(0)))
-    noted = source.select(
+    noted, _ = store(source.select(
         "_row", "_key", "_path", F.coalesce(F.transform(notes, lambda n: F.array_join(words(n), " ")), F.array()).alias("_notes"),
         F.when(notes.isNotNull(), F.size(words(F.col("_text")))).alias("_size"),
-    )
+    ), "notes")  # the texts are read once
     borne = noted.select("_row", "_key", "_path", "_size", F.explode("_notes").alias("note")).filter("note <> ''")
     scored = _scores(spark, borne.groupBy("note").agg(F.count("*").alias("files")), templates)
     own = (
@@ -110,7 +112,7 @@ def scan(
     )
     found = own.select("_row", "licence", "score", F.lit(None).cast("string").alias("_from")).unionByName(inherited)
     return (
-        source.select("_row", "_key")
+        noted.select("_row", "_key")
         .join(found, "_row", "left")
         .select(F.col("_key").alias(key), "licence", F.round("score", 6).alias("score"), F.col("_from").alias("inherited_from"))
     )
@@ -123,10 +125,10 @@ def _scores(spark: SparkSession, notes: DataFrame, templates) -> DataFrame:
     of_notes = notes.select("note", "files", F.explode(F.split("note", " ")).alias("word")).groupBy("note", "files", "word").agg(F.count("*").alias("tf"))
     of_templates = known.select("t", "licence", F.explode(words(F.col("text"))).alias("word")).groupBy("t", "licence", "word").agg(F.count("*").alias("tf"))
     frequency = of_notes.groupBy("word").agg(F.sum("files").alias("df"))
-    total = F.broadcast(notes.agg(F.lit(1).alias("one"), F.coalesce(F.sum("files"), F.lit(0)).alias("n")))  # one row
-    weight = F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.coalesce("df", F.lit(0)))) + 1)
-    of_notes = of_notes.withColumn("one", F.lit(1)).join(frequency, "word").join(total, "one").withColumn("w", weight)
-    of_templates = of_templates.withColumn("one", F.lit(1)).join(frequency, "word", "left").join(total, "one").withColumn("w", weight)
+    total = notes.agg(F.coalesce(F.sum("files"), F.lit(0))).scalar()
+    weight = F.col("tf") * (F.log((1 + total) / (1 + F.coalesce("df", F.lit(0)))) + 1)
+    of_notes = of_notes.join(frequency, "word").withColumn("w", weight)
+    of_templates = of_templates.join(frequency, "word", "left").withColumn("w", weight)
     note_norm = of_notes.groupBy("note").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     template_norm = of_templates.groupBy("t").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("t_norm"))
     shared = of_notes.select("note", "word", "w").join(
