@@ -239,7 +239,9 @@ def fit(pages: DataFrame, key: str = "page_id", html: str = "html", sample: int
     anew (labelled_layouts), so that the model doesn't hang on one element.  Where no page
     of the sample has an article, the fixed sentences of LAST_RESORT are laid out.
     """
-    rows = pages.filter(F.col(html).isNotNull()).orderBy(F.xxhash64(key), key).select(F.col(html).alias("html"))
+    present, order = pages.filter(F.col(html).isNotNull()), F.xxhash64(key)
+    last = present.select(order.alias("h")).orderBy("h").limit(sample).agg(F.max("h")).first()[0]  # hashes, not pages
+    rows = present.filter(order <= F.lit(last)).orderBy(order, key).select(F.col(html).alias("html")) if last is not None else present
     labelled, parts = [], []
     for row in rows.limit(sample).collect():  # at most `sample` pages
         blocks = leaf_blocks(row["html"])[:LONGEST]
