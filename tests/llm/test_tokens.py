@@ -36,6 +36,14 @@ def test_ids_are_the_librarys():
         assert tokens.encoder(BPE, "tokenizers")(text) == encode(text)
 
 
+@pytest.mark.parametrize("white", [" ", "\n", " \n\t", "\u3000"])
+def test_long_white_space_inside_a_text(white):
+    library, encode = Tokenizer.from_file(BPE), tokens.encoder(BPE)
+    for n in (500_000, 3_000_000):
+        for text in ("a word" + white * (n // len(white)) + "b <|endoftext|> c", "a" * 7 + white * (n // len(white))):
+            assert encode(text) == library.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("max_bits", [8, 12, 20])
 def test_code_lengths_are_limited_and_optimal(max_bits):
     counts = (1e6 / np.arange(1, 201) ** 2).astype(int) + 1
