@@ -13,6 +13,7 @@ from tallyforge.llm.scratch import store
 # Words that a line of a licence note has one of, and names of licence files.
 VOCABULARY = r"licen[cs]e|copyright|permission|redistribut|warrant|liab|rights reserved|spdx|public domain"
 NOTE = rf"(?im)(?:^.*(?:{VOCABULARY}).*$\n?)+"
+NOT_NOTED = rf"(?imd)^(?!.*(?:{VOCABULARY})).*"  # a line outside notes; Java's regex takes NOTE by recursion, a level a line
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|copyright|notice|unlicense)([.-].*)?$"
 
 # Texts by which licences are known (short notes and the first sentences of headers).
@@ -75,16 +76,18 @@ def scan(
         F.coalesce(F.col(path), F.lit("")).alias("_path"),
         F.coalesce(F.col(text), F.lit("")).alias("_text"),
     )
-    notes = F.when(F.rlike("_text", F.lit(f"(?i){VOCABULARY}")), F.regexp_extract_all("_text", F.lit(NOTE), F.lit(0)))
+    runs = F.split(F.regexp_replace("_text", NOT_NOTED, ""), "\n\n+")  # emptied lines part the notes
+    notes = F.when(F.rlike("_text", F.lit(f"(?i){VOCABULARY}")), runs)
     noted, _ = store(source.select(
         "_row", "_key", "_path", F.coalesce(F.transform(notes, lambda n: F.array_join(words(n), " ")), F.array()).alias("_notes"),
         F.when(notes.isNotNull(), F.size(words(F.col("_text")))).alias("_size"),
     ), "notes")  # the texts are read once
-    borne = noted.select("_row", "_key", "_path", "_size", F.explode("_notes").alias("note")).filter("note <> ''")
-    scored = _scores(spark, borne.groupBy("note").agg(F.count("*").alias("files")), templates)
+    borne = noted.select("_row", "_key", "_path", "_size", F.explode("_notes").alias("text")).filter("text <> ''")
+    borne = borne.withColumn("note", F.sha2("text", 256))  # rows per word bear this, not the text
+    scored = _scores(spark, borne.groupBy("note", "text").agg(F.count("*").alias("files")), templates)
     own = (
         borne.join(scored.filter(F.col("score") >= threshold), "note")
-        .withColumn("_share", F.size(F.split("note", " ")) / F.col("_size"))
+        .withColumn("_share", F.size(F.split("text", " ")) / F.col("_size"))
         .groupBy("_row")
         .agg(
             F.min_by(F.struct("licence", "score", "_share", "_path"), F.struct(-F.col("score"), F.col("licence"))).alias("best")
@@ -119,10 +122,10 @@ def scan(
 
 
 def _scores(spark: SparkSession, notes: DataFrame, templates) -> DataFrame:
-    """note, licence, score of the best template of every note (columns note, files)."""
+    """note, licence, score of the best template of every note (columns note, text, files)."""
     entries = F.array(*(F.struct(F.lit(i).alias("t"), F.lit(name).alias("licence"), F.lit(text).alias("text")) for i, (name, text) in enumerate(templates)))
     known = spark.range(1).select(F.explode(entries).alias("e")).select("e.*")
-    of_notes = notes.select("note", "files", F.explode(F.split("note", " ")).alias("word")).groupBy("note", "files", "word").agg(F.count("*").alias("tf"))
+    of_notes = notes.select("note", "files", F.explode(F.split("text", " ")).alias("word")).groupBy("note", "files", "word").agg(F.count("*").alias("tf"))
     of_templates = known.select("t", "licence", F.explode(words(F.col("text"))).alias("word")).groupBy("t", "licence", "word").agg(F.count("*").alias("tf"))
     frequency = of_notes.groupBy("word").agg(F.sum("files").alias("df"))
     total = notes.agg(F.coalesce(F.sum("files"), F.lit(0))).scalar()

@@ -51,6 +51,27 @@ def test_sql_agrees(spark):
     assert key(found) == key(want)
 
 
+def test_long_notes(spark):
+    rows = [
+        (1, "a/x.txt", "All rights reserved.\n" * 100_000),
+        (2, "b/x.txt", "It is liable to be reliable.\n" * 100_000 + "filler\n" + MIT),
+    ]
+    assert {(r["doc_id"], r["licence"], r["score"]) for r in scan(spark, rows).collect()} == {(1, "Proprietary", 1.0), (2, "MIT", 1.0)}
+
+
+def test_sql_agrees_on_line_ends(spark):
+    rows = [
+        (1, "c/x.txt", f"one\r\n{MIT}\r\nAll rights reserved.\r\n\r\n{APACHE}\n\n\n{MIT}"),
+        (2, "d/x.txt", f"\n{MIT}\u2028filler\rfiller\u0085\n" + "filler\n" * 100 + "\n"),
+        (3, "e/x.txt", f"{MIT}\r\nAll rights reserved.\r\n"),
+    ]
+    con = duckdb.connect()
+    con.register("files", pd.DataFrame(rows, columns=["doc_id", "path", "text"]))
+    want = con.execute(L.oracle("coalesce(path, '')", "files")).df()
+    key = lambda f: sorted(map(str, f[["doc_id", "licence", "score", "inherited_from"]].astype(object).where(f.notna(), None).values.tolist()))
+    assert key(scan(spark, rows).toPandas()) == key(want)
+
+
 def test_empty_table(spark):
     assert scan(spark, []).collect() == []
 
