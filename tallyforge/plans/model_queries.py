@@ -1,4 +1,4 @@
-"""Queries that fit models: small grids over the whole tables."""
+"""Queries that fit models: whole grids over the whole tables."""
 
 from __future__ import annotations
 
@@ -9,8 +9,6 @@ from tallyforge.operators.splits import synthetic_user
 from tallyforge.plans import fixtures as fx, recommender, survey, weather
 from tallyforge.sources.fixed_width import read_fixed_width
 
-SMALL_FORESTS = tuning.grid(impurity=["gini"], maxDepth=[4, 6], maxBins=[32], numTrees=[5])
-SMALL_FACTORS = tuning.grid(rank=[10], regParam=[0.1], alpha=[1.0, 10.0])
 YEARS = {"train": (1995, 1999), "valid": 2000, "test": 2001}
 
 
@@ -30,7 +28,7 @@ def dt_tvs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rf_multiclass_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fx.survey_like(spark, sf_dir)
-    return survey.forest_study(rows, *_survey_roles("age_group"), points=SMALL_FORESTS, folds=2).report
+    return survey.forest_study(rows, *_survey_roles("age_group")).report
 
 
 def lr_tvs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +83,7 @@ def als_test_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def als_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = prepared(spark, sf_dir)
-    table, _, _ = factors.search_als(data.train, fx.FACT_KEYS, SMALL_FACTORS, folds=2, parallelism=2)
+    table, _, _ = factors.search_als(data.train, fx.FACT_KEYS, parallelism=2)
     return tuning.ranked_points(table)
 
 
