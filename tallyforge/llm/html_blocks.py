@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from typing import NamedTuple
 
 TOKEN = re.compile(r"""<!--|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?/][^>]*+>""")
@@ -20,12 +21,12 @@ ENDS |= {"li": ("p", "li"), "dt": ("p", "dt", "dd"), "dd": ("p", "dt", "dd"), "o
 ENDS |= {"tr": ("p", "tr", "td", "th"), "td": ("p", "td", "th"), "th": ("p", "td", "th")}
 CONTAINERS = frozenset("article aside body button details div dl fieldset footer form header html main nav ol section table td th ul".split())
 CLOSE = {n: re.compile(rf"</{n}(?=[\s/>])", re.I) for n in UNSEEN}
-DEEPEST = 200  # open elements that are kept; deeper ones count as their text alone
+DEEPEST = 200  # elements of a path; below, repeated ones are left out above the nearest two
 
 
 class Block(NamedTuple):
     text: str  # references decoded, white space as one blank, trimmed, not empty
-    path: tuple[str, ...]  # open elements from the outermost, as "tag name name ..."
+    path: tuple[str, ...]  # open elements from the outermost, as "tag name name ...", see DEEPEST
     linked: int  # characters inside links
 
 
@@ -39,6 +40,7 @@ def leaf_blocks(page: str | None) -> list[Block]:
     page = page or ""
     out: list[Block] = []
     stack: list[str] = []  # tag names
+    opened: Counter[str] = Counter()  # the same, counted
     paths: list[tuple[str, ...]] = [()]
     pieces: list[str] = []
     start: tuple[str, ...] = ()
@@ -58,6 +60,7 @@ def leaf_blocks(page: str | None) -> list[Block]:
         nonlocal links
         for name in stack[n:]:
             links -= name == "a"
+            opened[name] -= 1
         del stack[n:], paths[n + 1 :]
 
     while True:
@@ -83,8 +86,8 @@ def leaf_blocks(page: str | None) -> list[Block]:
         if token[1]:
             if name not in INLINE:
                 flush()
-            if name in stack:
-                pop(len(stack) - 1 - stack[::-1].index(name))
+            if opened[name]:
+                pop(next(i for i in range(len(stack) - 1, -1, -1) if stack[i] == name))
             continue
         if name in UNSEEN:
             if not token[3].endswith("/"):
@@ -98,20 +101,29 @@ def leaf_blocks(page: str | None) -> list[Block]:
                 continue
         else:
             flush()
-            for i in range(len(stack) - 1, -1, -1):
+            for i in range(len(stack) - 1, -1, -1) if any(opened[n] for n in ENDS.get(name, ())) else ():
                 if stack[i] in ENDS.get(name, ()):
                     pop(i)
                     break
                 if stack[i] in CONTAINERS:
                     break
-        if name not in VOID and len(stack) < DEEPEST:
+        if name not in VOID:
             stack.append(name)
-            paths.append((*paths[-1], element(name, token[3])))
+            opened[name] += 1
+            paths.append(below(paths[-1], element(name, token[3])))
             links += name == "a"
     flush()
     return out
 
 
+def below(path: tuple[str, ...], name: str) -> tuple[str, ...]:
+    """The path of an element inside path's."""
+    if len(path) < DEEPEST or path[-2] not in path[:-2]:
+        return (*path, name)
+    kept = (*path[:-2], path[-1], name)
+    return path if kept == path else kept
+
+
 def element(name: str, attributes: str) -> str:
     """The tag and the words of its class, id and role."""
     if "=" not in attributes:

@@ -30,6 +30,17 @@ def test_leaf_blocks():
     assert leaf_blocks('<html><div class="Ad big" id=x1><a href=u>go</a> on</div>')[0] == ("go on", ("html", "div ad big x", "a"), 2)
 
 
+def test_paths_around_deep_elements():
+    deep = "<div>" * 5000 + "<aside class=ad>in<p>more</p></aside>" + "</div>" * 5000
+    blocks = leaf_blocks(f"<html><body><div><article><p>a</p>{deep}<p>b</p></article></div><footer>f</footer>")
+    path = ("html", "body", "div", "article")
+    assert [b.text for b in blocks] == ["a", "in", "more", "b", "f"]
+    assert blocks[0].path == blocks[3].path == (*path, "p") and blocks[4].path == ("html", "body", "footer")
+    assert H.path_features(blocks[2].path) == H.path_features((*path, *["div"] * 5000, "aside ad", "p"))
+    unclosed = leaf_blocks("<div>" * 300 + "<p>x</p><nav>n</nav><footer id=f>y</footer><div>z")
+    assert [b.path[-1] for b in unclosed] == ["p", "nav", "footer f", "div"] and "nav" not in unclosed[3].path
+
+
 def brute_decode(crf, scores):
     best = None
     for code in range(2 ** len(scores)):
