@@ -38,15 +38,30 @@ def binary_auc(df: DataFrame, score: str = "score", label: str = "label") -> Dat
 
     Without positives both areas are 0.0, without negatives 1.0.
     """
-    by_score = df.groupBy(F.col(score).alias("score")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
+    return binary_auc_by(df, [], score, label)
+
+
+def binary_auc_by(
+    df: DataFrame, by: list[str], score: str = "score", label: str = "label", weight: str | None = None
+) -> DataFrame:
+    """The same per group, all groups in one pass; ``weight`` counts a row as that many.
+
+    Rows are first reduced to one for every distinct score of a group, then ranged by
+    group and score, so one group may hold all rows.
+    """
+    count = F.lit(1).cast("bigint") if weight is None else F.col(weight)
+    is_pos = F.col(label) == 1
+    zero = F.lit(0).cast("bigint")
+    by_score = df.groupBy(*by, F.col(score).alias("score")).agg(
+        F.sum(F.when(is_pos, count).otherwise(zero)).alias("pos"),
+        F.sum(F.when(F.col(label) != 1, count).otherwise(zero)).alias("neg"),
     )
-    run = running_totals(by_score, [F.col("score").desc()], ["pos", "neg"], "auc")
+    run = running_totals(by_score, [F.col("score").desc()], ["pos", "neg"], "auc", by)
     tp, fp, pos, neg = (F.col(c) for c in ("run_pos", "run_neg", "pos", "neg"))
     seen_before = tp - pos + fp - neg
-    precision = tp / (tp + fp)
+    precision = F.try_divide(tp, tp + fp)
     earlier = F.when(seen_before > 0, (tp - pos) / seen_before).otherwise(precision)
-    sums = run.agg(
+    sums = run.groupBy(*by).agg(
         F.sum(pos).alias("n_pos"),
         F.sum(neg).alias("n_neg"),
         F.sum(neg * (tp + tp - pos) / 2).alias("_roc"),
@@ -60,6 +75,7 @@ def binary_auc(df: DataFrame, score: str = "score", label: str = "label") -> Dat
         )
 
     return sums.select(
+        *by,
         area(F.col("_roc") / (n_pos.cast("double") * n_neg)).alias("roc_auc"),
         area(F.col("_pr") / n_pos).alias("pr_auc"),
         "n_pos",

@@ -20,20 +20,23 @@ def range_numbered(df: DataFrame, order: list[Column], label: str) -> DataFrame:
 
 
 def running_totals(
-    df: DataFrame, order: list[Column], sums: list[str], label: str = "running"
+    df: DataFrame, order: list[Column], sums: list[str], label: str = "running", by: list[str] | None = None
 ) -> DataFrame:
     """Add ``run_<name>`` for every summed column, the row itself included.
 
-    ``order`` must be a total order over the rows.
+    ``order`` must be a total order over the rows.  With ``by`` every group has totals of
+    its own; groups of any size share the ranges.
     """
-    stored = range_numbered(df, order, label)
-    earlier = Window.partitionBy().orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    by = by or []
+    stored = range_numbered(df, [*map(F.col, by), *order], label)
+    earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        stored.groupBy("_part")
+        stored.groupBy("_part", *by)
         .agg(*[F.sum(c).alias(c) for c in sums])
-        .select("_part", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_b_{c}") for c in sums])
+        .select("_part", *by, *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_b_{c}") for c in sums])
     )
-    local = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = Window.partitionBy("_part", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     totals = [(F.sum(c).over(local) + F.col(f"_b_{c}")).alias(f"run_{c}") for c in sums]
-    # one offset row per range partition: the size is the partition count
-    return stored.join(F.broadcast(offsets), "_part").select(*df.columns, *totals)
+    # one offset row per range partition: the size is the partition count; groups add as many rows again
+    small = offsets if by else F.broadcast(offsets)
+    return stored.join(small, ["_part", *by]).select(*df.columns, *totals)

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyforge.operators import factors, tuning
 from tallyforge.operators.splits import synthetic_user
 from tallyforge.plans import fixtures as fx, recommender, survey, weather
+from tallyforge.session import shared_folder
 from tallyforge.sources.fixed_width import read_fixed_width
 
+SEARCH_SECONDS = 240.0  # of one call of a query that searches; the next call goes on
+SEARCH_PARTITIONS = 16  # of the rows these searches train on
 YEARS = {"train": (1995, 1999), "valid": 2000, "test": 2001}
 
 
@@ -16,19 +21,41 @@ def _survey_roles(label: str) -> tuple:
     return fx.SURVEY_LIKE_NUMERIC, fx.SURVEY_LIKE_CATEGORICAL, label, fx.ROW_KEYS
 
 
+def _ledgers(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tallyforge/searches"
+
+
+def _staged(spark: SparkSession, study, **options) -> DataFrame:
+    """The report of a study, or what its search has finished within SEARCH_SECONDS.
+
+    The same query in the same shared folder goes on from there.  ``fits_done`` and
+    ``fits_total`` are rows of every report; the others come once the search is whole.
+    """
+    try:
+        found = study(ledger=_ledgers(spark), seconds=SEARCH_SECONDS, partitions=SEARCH_PARTITIONS, **options)
+    except tuning.Unfinished as stopped:
+        return _fits(spark, stopped.done, stopped.total)
+    total = found.search.metrics.count()
+    return found.report.unionByName(_fits(spark, total, total))
+
+
+def _fits(spark: SparkSession, done: int, total: int) -> DataFrame:
+    return spark.createDataFrame([("fits_done", float(done)), ("fits_total", float(total))], "metric string, value double")
+
+
 def dt_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fx.survey_like(spark, sf_dir)
-    return survey.tree_study(rows, *_survey_roles("answer"), parallelism=4).report
+    return _staged(spark, partial(survey.tree_study, rows, *_survey_roles("answer"), parallelism=4))
 
 
 def dt_tvs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fx.survey_like(spark, sf_dir)
-    return survey.tree_study(rows, *_survey_roles("answer"), search="tvs", parallelism=4).report
+    return _staged(spark, partial(survey.tree_study, rows, *_survey_roles("answer"), search="tvs", parallelism=4))
 
 
 def rf_multiclass_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fx.survey_like(spark, sf_dir)
-    return survey.forest_study(rows, *_survey_roles("age_group")).report
+    return _staged(spark, partial(survey.forest_study, rows, *_survey_roles("age_group"), parallelism=4))
 
 
 def lr_tvs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,9 +109,15 @@ def als_test_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def als_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    data = prepared(spark, sf_dir)
-    table, _, _ = factors.search_als(data.train, fx.FACT_KEYS, parallelism=2)
-    return tuning.ranked_points(table)
+    """Every grid point with its finished folds, mean metric and place; goes on where an earlier call was stopped."""
+    data, points, folds = prepared(spark, sf_dir), tuning.ALS_GRID, 5
+    options = {"parallelism": 4, "ledger": _ledgers(spark), "seconds": SEARCH_SECONDS}
+    try:
+        table, _, _ = factors.search_als(data.train, fx.FACT_KEYS, points, folds, **options)
+    except tuning.Unfinished as stopped:
+        return tuning.ledger_means(stopped.ledger, points, folds)
+    counted = table.groupBy("point").agg(F.count("metric").alias("n_folds"))
+    return tuning.ranked_points(table).join(counted, "point")
 
 
 def new_user_top25(spark: SparkSession, sf_dir: str) -> DataFrame:

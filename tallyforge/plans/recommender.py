@@ -74,6 +74,8 @@ def main() -> None:
     parser.add_argument("--merge", choices=["none", "sum"], default="none")
     parser.add_argument("--parallelism", type=int, default=1)
     parser.add_argument("--blocks", type=int, default=factors.BLOCKS)
+    parser.add_argument("--ledger", help="folder of finished fits; the same command goes on from there")
+    parser.add_argument("--seconds", type=float, help="end the search after that time; needs --ledger to go on later")
     for option, name in (("ranks", "rank"), ("lambdas", "regParam"), ("alphas", "alpha")):
         values = list(dict.fromkeys(point[name] for point in tuning.ALS_GRID))
         parser.add_argument(f"--{option}", nargs="+", type=type(values[0]), default=values)
@@ -85,9 +87,14 @@ def main() -> None:
     print("most popular:")
     baseline(data).show()
     points = tuning.grid(rank=args.ranks, regParam=args.lambdas, alpha=args.alphas)
-    table, best, model = factors.search_als(
-        data.train, keys, points, args.folds, k=args.top, parallelism=args.parallelism, blocks=args.blocks
-    )
+    try:
+        table, best, model = factors.search_als(
+            data.train, keys, points, args.folds, k=args.top, parallelism=args.parallelism, blocks=args.blocks,
+            ledger=args.ledger, seconds=args.seconds,
+        )
+    except tuning.Unfinished as stopped:
+        spark.stop()
+        raise SystemExit(str(stopped)) from None
     tuning.ranked_points(table).show(truncate=False)
     print("best parameters:", best)
     metrics.metric_rows(factors.held_out_metrics(model, data.test, args.top)).show()

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyforge.operators import metrics, tuning
 from tallyforge.operators.features import index_mapping, tabular_stages
 from tallyforge.operators.splits import hash_split
+from tallyforge.operators.tree_depths import DepthAuc
 from tallyforge.session import allow_checkpoints
 from tallyforge.sources import survey as source
 
@@ -51,21 +52,26 @@ def tree_study(
     seed: int = 42,
     parallelism: int = 2,
     select_by: str = "rawPrediction",
+    **options,
 ) -> Study:
-    """Decision tree for a two-valued label, tuned by ROC AUC and judged on held-out rows."""
+    """Decision tree for a two-valued label, tuned by ROC AUC and judged on held-out rows.
+
+    One tree is fitted for all depths of a grid (tree_depths); ``options`` go to the search:
+    partitions, ledger, seconds.
+    """
     train, test = _split(df, keys, train_percent, seed)
     stages = tabular_stages(numeric, categorical, label)
     tree = DecisionTreeClassifier(
         labelCol="label", featuresCol="features", seed=seed, **_growth(df.sparkSession, points)
     )
-    evaluator = tuning.binary_auc_evaluator(select_by)
+    judge = DepthAuc(select_by)
     if search == "cv":
         found = tuning.cross_validate(
-            train, keys, stages, tree, points, evaluator, folds, seed, parallelism
+            train, keys, stages, tree, points, judge, folds, seed, parallelism, **options
         )
     else:
         found = tuning.train_validate(
-            train, keys, stages, tree, points, evaluator, train_percent, seed, parallelism
+            train, keys, stages, tree, points, judge, train_percent, seed, parallelism, **options
         )
     scored = found.model.transform(test).select(
         "label", "prediction", vector_to_array("probability")[1].alias("score")
@@ -85,8 +91,12 @@ def forest_study(
     train_percent: int = 80,
     seed: int = 42,
     parallelism: int = 2,
+    **options,
 ) -> Study:
-    """Random forest for a label of many classes, tuned by accuracy."""
+    """Random forest for a label of many classes, tuned by accuracy; ``options`` go to the search.
+
+    A forest draws features node by node as it grows, so every depth is a fit of its own.
+    """
     train, test = _split(df, keys, train_percent, seed)
     stages = tabular_stages(numeric, categorical, label)
     forest = RandomForestClassifier(
@@ -94,7 +104,7 @@ def forest_study(
         **_growth(df.sparkSession, points),
     )
     found = tuning.cross_validate(
-        train, keys, stages, forest, points, tuning.accuracy_evaluator(), folds, seed, parallelism
+        train, keys, stages, forest, points, tuning.accuracy_evaluator(), folds, seed, parallelism, **options
     )
     scored = found.model.transform(test).select("label", "prediction")
     scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
@@ -120,14 +130,14 @@ def _split(df: DataFrame, keys: list[str], percent: int, seed: int) -> tuple[Dat
     return split.filter("split = 'train'").drop("split"), split.filter("split = 'test'").drop("split")
 
 
-def run(spark: SparkSession, path: str, task: str, search: str, parallelism: int) -> Study:
+def run(spark: SparkSession, path: str, task: str, search: str, parallelism: int, **options) -> Study:
     """One of the two survey analyses over a CSV file; rows are keyed by their whole content."""
     df = source.read_csv(spark, path)
     label = source.SURVEY_YES_NO_LABEL if task == "binary" else source.SURVEY_AGE_LABEL
     roles = (source.SURVEY_NUMERIC, source.survey_categorical(label), label, df.columns)
     if task == "binary":
-        return tree_study(df, *roles, search=search, parallelism=parallelism)
-    return forest_study(df, *roles, parallelism=parallelism)
+        return tree_study(df, *roles, search=search, parallelism=parallelism, **options)
+    return forest_study(df, *roles, parallelism=parallelism, **options)
 
 
 def main() -> None:
@@ -136,12 +146,20 @@ def main() -> None:
     parser.add_argument("--task", choices=["binary", "age"], default="binary")
     parser.add_argument("--search", choices=["cv", "tvs"], default="cv")
     parser.add_argument("--parallelism", type=int, default=2)
+    parser.add_argument("--partitions", type=int, default=tuning.PARTITIONS)
+    parser.add_argument("--ledger", help="folder of finished fits; the same command goes on from there")
+    parser.add_argument("--seconds", type=float, help="end the search after that time; needs --ledger to go on later")
     parser.add_argument("--model-out")
     parser.add_argument("--report-out")
     args = parser.parse_args()
     spark = SparkSession.builder.appName("survey").getOrCreate()
     start = time.time()
-    study = run(spark, args.path, args.task, args.search, args.parallelism)
+    options = {"partitions": args.partitions, "ledger": args.ledger, "seconds": args.seconds}
+    try:
+        study = run(spark, args.path, args.task, args.search, args.parallelism, **options)
+    except tuning.Unfinished as stopped:
+        spark.stop()
+        raise SystemExit(str(stopped)) from None
     trained = time.time() - start
     print("best parameters:", study.search.best)
     study.report.show(truncate=False)
