@@ -13,7 +13,7 @@ from tallyforge.llm.jaccard_join import similarity_classes
 from tallyforge.llm.packing import pack_documents
 from tallyforge.llm.scratch import table
 from tallyforge.llm.secret_scan import report, scan_secrets
-from tallyforge.llm import html_extract, license_scan, piece_nbest, toxicity
+from tallyforge.llm import decontaminate, html_extract, license_scan, piece_nbest, toxicity
 from tallyforge.llm.token_files import read_checksums, write_token_files
 from tallyforge.session import intermediate_path
 
@@ -85,6 +85,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op12_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_html_extraction": op2_html_extraction,
@@ -96,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_secret_scan": op10_secret_scan,
+    "op12_benchmark_decontamination": op12_benchmark_decontamination,
 }
 
 ORACLES: dict[str, str] = {
@@ -104,5 +109,6 @@ ORACLES: dict[str, str] = {
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op12_benchmark_decontamination": decontaminate.oracle(),
     "op8_license_scan": license_scan.oracle("concat_ws('/', coalesce(source, ''), coalesce(lang, ''), doc_id || '.txt')"),
 }
