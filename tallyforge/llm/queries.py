@@ -13,7 +13,7 @@ from tallyforge.llm.jaccard_join import similarity_classes
 from tallyforge.llm.packing import pack_documents
 from tallyforge.llm.scratch import table
 from tallyforge.llm.secret_scan import report, scan_secrets
-from tallyforge.llm import decontaminate, html_extract, license_scan, piece_nbest, toxicity
+from tallyforge.llm import decontaminate, hard_negatives, html_extract, license_scan, piece_nbest, toxicity
 from tallyforge.llm.token_files import read_checksums, write_token_files
 from tallyforge.session import intermediate_path
 
@@ -89,6 +89,12 @@ def op12_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_html_extraction": op2_html_extraction,
@@ -101,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_secret_scan": op10_secret_scan,
     "op12_benchmark_decontamination": op12_benchmark_decontamination,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLES: dict[str, str] = {
@@ -110,5 +117,6 @@ ORACLES: dict[str, str] = {
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
     "op12_benchmark_decontamination": decontaminate.oracle(),
+    "op13_hard_negatives": hard_negatives.ORACLE,
     "op8_license_scan": license_scan.oracle("concat_ws('/', coalesce(source, ''), coalesce(lang, ''), doc_id || '.txt')"),
 }
