@@ -13,7 +13,7 @@ from tallyforge.llm.jaccard_join import similarity_classes
 from tallyforge.llm.packing import pack_documents
 from tallyforge.llm.scratch import table
 from tallyforge.llm.secret_scan import report, scan_secrets
-from tallyforge.llm import decontaminate, hard_negatives, html_extract, license_scan, piece_nbest, toxicity
+from tallyforge.llm import conversation_repair, decontaminate, hard_negatives, html_extract, license_scan, piece_nbest, toxicity
 from tallyforge.llm.token_files import read_checksums, write_token_files
 from tallyforge.session import intermediate_path
 
@@ -85,6 +85,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversation_repair.damage(table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair(rows).withColumnRenamed("id", "conv_id")
+
+
 def op12_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -106,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_secret_scan": op10_secret_scan,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_benchmark_decontamination": op12_benchmark_decontamination,
     "op13_hard_negatives": op13_hard_negatives,
 }
