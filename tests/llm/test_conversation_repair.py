@@ -41,7 +41,7 @@ def faults(rows):
     return out
 
 
-def cheapest(rows, kinds):
+def cheapest(rows, kinds, insert=5, delete=2):
     """The least (cost, audit) of all edit sequences, by trying them in order of cost."""
     heap, passed = [(0, "", 0, "", ())], set()
     while heap:
@@ -55,10 +55,10 @@ def cheapest(rows, kinds):
         if not re.fullmatch(r"s?(ua)*u?", initials):
             continue
         for c in "ua":
-            heapq.heappush(heap, (cost + 5, audit + "I", i, initials + c, out + ((FULL[c], ""),)))
+            heapq.heappush(heap, (cost + insert, audit + "I", i, initials + c, out + ((FULL[c], ""),)))
         if i < len(rows):
             _, _, role, text = rows[i]
-            heapq.heappush(heap, (cost + 2, audit + "D", i + 1, initials, out))
+            heapq.heappush(heap, (cost + delete, audit + "D", i + 1, initials, out))
             if kinds[i] not in ("blank", "duplicate"):
                 more = 5 if kinds[i] == "truncated" else 0
                 heapq.heappush(heap, (cost + more, audit + "K", i + 1, initials + (role[:1] or " "), out + ((role, text),)))
@@ -151,13 +151,20 @@ def test_empty_table(spark):
     assert C.repair(C.damage(spark.createDataFrame([], ROWS))).collect() == []
 
 
-def test_inserts_where_they_are_cheaper(spark, monkeypatch):
+def test_inserts_where_they_are_cheaper(monkeypatch):
     """At the given costs a delete always beats an insert; at others inserts have to be right too."""
     monkeypatch.setattr(C, "INSERT", 1)
-    one = C.Repair()
-    for role in ("system", "assistant", "assistant", "user"):
-        one.add(None, role, f"As {role} {one.n}.")
-    assert one.result()[5:7] == (3, "KIKIKKI"[:7])
+    monkeypatch.setattr(C, "DELETE", 3)
+    audits = []
+    for rows in grouped(made(200, seed=5), range(200)).values():
+        rows = [(c, i, r or " ", t or " ") for i, (c, _, r, t) in enumerate(rows)]
+        one = C.Repair()
+        for _, turn, role, text in rows:
+            one.add(turn, role, text)
+        cost, audit, text = cheapest(rows, faults(rows), insert=1, delete=3)
+        assert one.result()[5:] == (cost, audit, hashlib.sha256(text.encode()).hexdigest())
+        audits.append(audit)
+    assert sum("I" in a for a in audits) > 50
 
 
 @pytest.mark.parametrize("text, kind", [("", "blank"), (" \t\x0b", "blank"), ("a", "truncated"), ("a. \n", ""), (" ", "truncated"), ("?", "")])
