@@ -135,8 +135,8 @@ def _streamed(rows: DataFrame, spill: int) -> DataFrame:
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
     names = [c.split()[0] for c in RESULT.split(", ")]
-    frame = pd.DataFrame(rows, columns=names)
-    frame["id"] = frame["id"].astype("Int64")
+    frame = pd.DataFrame([r[1:] for r in rows], columns=names[1:])
+    frame.insert(0, names[0], pd.array([r[0] for r in rows], dtype="Int64"))  # nulls beside whole numbers of any size
     return frame
 
 

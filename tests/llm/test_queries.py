@@ -15,17 +15,18 @@ CONTRACT = {
     "op7_": {"doc_id", "held_out", "score", "predicted"},
     "op9_": {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"},
     "op10_": {"doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"},
+    "op11_": {"conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"},
 }
-ROWS = {"op2_": "pages", "op6_": "embeddings"}
+ROWS = {"op2_": "pages", "op6_": "embeddings", "op11_": "conversations"}
 
 
 def test_one_query_for_each_operator():
     names = [n for n in entry_module.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry_module.queries()
 
 
-@pytest.mark.parametrize("name", ["op5_exact_dedup", "op8_license_scan"])
+@pytest.mark.parametrize("name", ["op5_exact_dedup", "op8_license_scan", "op12_benchmark_decontamination", "op13_hard_negatives"])
 def test_query_agrees_with_sql(spark, name):
     assert difference(spark, connect(SMALL), SMALL, entry_module.queries()[name], entry_module.oracle_sql()[name]) is None
 
