@@ -16,7 +16,7 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyforge.functions.scalar import rank_line
-from tallyforge.operators import features, metrics, ranking, relational as rel, splits
+from tallyforge.operators import features, metrics, numbering, ranking, relational as rel, splits, tree_depths, tuning
 from tallyforge.plans import fixtures as fx
 from tallyforge.plans import model_queries, recommender, survey
 from tallyforge.session import write_intermediate
@@ -202,6 +202,27 @@ def string_index_keep(spark, sf_dir):
     return fitted.transform(part).select("p_partkey", "p_brand_idx", "p_type_idx")
 
 
+def category_levels(spark, sf_dir):
+    """The same as string_index_keep, from tables of levels."""
+    part = fx.table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
+    known = part.filter("p_size <= 4 AND p_brand <> 'Brand#11' AND p_type <> 'PROMO'")
+    for column in ("p_brand", "p_type"):
+        part = numbering.index_by_table(part, column, numbering.category_table(known, column), f"{column}_idx")
+    return part.select("p_partkey", "p_brand_idx", "p_type_idx")
+
+
+def dense_ids(spark, sf_dir):
+    """Numbers of ids beyond int and of text ids, back and forth."""
+    orders = fx.table(spark, sf_dir, "orders")
+    ids = orders.select(
+        (F.col("o_custkey") * 10_000_000_000 - 5).alias("user"), F.concat_ws("/", "o_orderpriority", "o_custkey").alias("item")
+    )
+    users, items = numbering.dense_ids(ids, "user"), numbering.dense_ids(ids, "item")
+    numbered = numbering.replace_ids(numbering.replace_ids(ids, users, "user"), items, "item")
+    pairs = numbered.distinct().select("*", F.col("user").alias("user_number"), F.col("item").alias("item_number"))
+    return numbering.original_ids(numbering.original_ids(pairs, users, "user"), items, "item")
+
+
 def string_index_label(spark, sf_dir):
     orders = fx.table(spark, sf_dir, "orders")
     fitted = features.label_indexer("o_orderpriority").fit(orders)
@@ -282,6 +303,23 @@ def binary_auc_ties(spark, sf_dir):
     return fx.rounded(metrics.binary_auc(fx.judged(spark, sf_dir), "coarse_score"), 8, "roc_auc", "pr_auc")
 
 
+def binary_auc_points(spark, sf_dir):
+    """Areas of two scores at once."""
+    scores = F.array(*(F.struct(F.lit(p).alias("point"), F.col(f"{p}_score").alias("score")) for p in ("coarse", "fine")))
+    rows = fx.judged(spark, sf_dir).select("label", F.inline(scores))
+    return fx.rounded(metrics.binary_auc_by(rows, ["point"]), 8, "roc_auc", "pr_auc")
+
+
+def rule_search(spark, sf_dir):
+    """Mean accuracy over five folds of the rules quantity > threshold, and their places."""
+    rows = splits.assign_folds(fx.judged(spark, sf_dir), fx.ROW_KEYS)
+    rules = F.posexplode(F.array(*map(F.lit, (10.0, 20.0, 30.0, 30.5, 40.0)))).alias("point", "threshold")
+    right = F.col("label") == (F.col("coarse_score") > F.col("threshold")).cast("double")
+    judged = rows.select("fold", "label", "coarse_score", rules).groupBy("point", "fold", "threshold")
+    table = judged.agg(F.round(F.avg(right.cast("double")), 9).alias("metric"))
+    return fx.rounded(tuning.ranked_points(table), 8, "mean_metric")
+
+
 def multiclass_confusion(spark, sf_dir):
     return metrics.confusion_counts(fx.judged_classes(spark, sf_dir))
 
@@ -387,6 +425,14 @@ def tree_stump(spark, sf_dir):
     return _count_by(leaves, "prediction", "share")
 
 
+def tree_depth_points(spark, sf_dir):
+    """Depth 1 of a tree of depth 6: the leaves of tree_stump."""
+    rows = _stump_inputs(spark, sf_dir)
+    model = DecisionTreeClassifier(impurity="gini", maxDepth=6, maxBins=64, seed=42).fit(rows)
+    cut = tree_depths.depth_tallies(model, rows, [1])
+    return cut.groupBy("prediction", F.round(tree_depths.tree_score("probability"), 9).alias("share")).agg(F.sum("n").alias("n"))
+
+
 def forest_stump(spark, sf_dir):
     """A regression forest of one whole-sample tree with one split."""
     rows = _stump_inputs(spark, sf_dir)
@@ -442,6 +488,8 @@ QUERIES: dict[str, Query] = {
     "sample_ids": sample_ids,
     "cyclical_encoding": cyclical_encoding,
     "string_index_keep": string_index_keep,
+    "category_levels": category_levels,
+    "dense_ids": dense_ids,
     "string_index_label": string_index_label,
     "assemble_vector": assemble_vector,
     "category_detect": category_detect,
@@ -452,6 +500,8 @@ QUERIES: dict[str, Query] = {
     "binary_report": binary_report,
     "binary_auc": binary_auc,
     "binary_auc_ties": binary_auc_ties,
+    "binary_auc_points": binary_auc_points,
+    "rule_search": rule_search,
     "multiclass_confusion": multiclass_confusion,
     "multiclass_metrics": multiclass_metrics,
     "regression_metrics": regression_metrics,
@@ -466,6 +516,7 @@ QUERIES: dict[str, Query] = {
     "ols_one_feature": ols_one_feature,
     "ols_holdout": ols_holdout,
     "tree_stump": tree_stump,
+    "tree_depth_points": tree_depth_points,
     "forest_stump": forest_stump,
     **model_queries.QUERIES,
 }

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tallyforge.operators import factors, tuning
+from tallyforge.operators import factors, topk, tuning
 from tallyforge.operators.splits import synthetic_user
 from tallyforge.plans import fixtures as fx, recommender, survey, weather
 from tallyforge.session import shared_folder
 from tallyforge.sources.fixed_width import read_fixed_width
 
+LARGE = 1 << 40  # moves ids out of the int range
 SEARCH_SECONDS = 240.0  # of one call of a query that searches; the next call goes on
 SEARCH_PARTITIONS = 16  # of the rows these searches train on
 YEARS = {"train": (1995, 1999), "valid": 2000, "test": 2001}
@@ -93,6 +94,37 @@ def als_list_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dense_als_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists for users with ids beyond int and items with text ids: per user their length and the known items on them."""
+    data = prepared(spark, sf_dir)
+    train, test = (
+        rows.select((F.col("user") + LARGE).alias("user"), F.concat(F.lit("part "), "item").alias("item"), "rating")
+        for rows in (data.train, data.test)
+    )
+    lists = factors.recommend_keyed(factors.fit_als_keyed(train), test)
+    known = train.select("item").distinct()
+    return lists.join(known, "item").groupBy("user").agg(F.countDistinct("item").alias("n_items"))
+
+
+def topk_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per held-out user the lists by blocks of norms against those of the model: lengths, and scores that agree."""
+    data = prepared(spark, sf_dir)
+    model = factors.fit_als(data.train)
+    best = Window.partitionBy("user").orderBy(F.col("score").desc(), "item")
+    mine, theirs = (
+        lists.withColumn("place", F.row_number().over(best)).select("user", "place", F.col("score").alias(name))
+        for lists, name in ((topk.top_k(model, data.test, 50, user_block=64, item_block=256), "a"), (factors.recommend(model, data.test), "b"))
+    )
+    both = mine.join(theirs, ["user", "place"], "full")
+    return both.groupBy("user").agg(F.count(F.lit(1)).alias("n_items"), F.count_if(F.abs(F.col("a") - F.col("b")) < 1e-5).alias("n_same"))
+
+
+def new_user_fold_in(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recommendations for the synthetic user from the factors that the stored items give that user."""
+    data = prepared(spark, sf_dir)
+    return factors.recommend_folded(factors.fit_als(data.train), synthetic_user(data.facts), 25)
+
+
 def new_user_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The new user's id, the length of the list and how many rated items are on it."""
     data = prepared(spark, sf_dir)
@@ -135,6 +167,9 @@ QUERIES = {
     "rf_regress": rf_regress,
     "als_topk": als_topk,
     "als_list_check": als_list_check,
+    "dense_als_check": dense_als_check,
+    "topk_check": topk_check,
+    "new_user_fold_in": new_user_fold_in,
     "new_user_check": new_user_check,
     "als_test_metrics": als_test_metrics,
     "als_search": als_search,

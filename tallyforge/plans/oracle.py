@@ -383,3 +383,28 @@ SELECT round(regr_slope(l_extendedprice / 1000, l_quantity), 4) AS slope,
   round(regr_intercept(l_extendedprice / 1000, l_quantity), 4) AS intercept
 FROM lineitem""",
 }
+JUDGED_FOLDS = f"""judged AS (
+  SELECT l_quantity AS q, {ANSWER} AS y, {_hash('fold', ROW_TEXT)} % 5 AS fold
+  FROM lineitem)"""
+ORACLES |= {
+    "category_levels": ORACLES["string_index_keep"],
+    "tree_depth_points": ORACLES["tree_stump"],
+    "binary_auc_points": " UNION ALL ".join(f"SELECT '{p}' AS point, * FROM ({_curve(p)})" for p in ("coarse", "fine")),
+    "dense_ids": """
+WITH ids AS (SELECT o_custkey * 10000000000 - 5 AS "user", o_orderpriority || '/' || o_custkey AS item FROM orders),
+users AS (SELECT "user", row_number() OVER (ORDER BY "user") - 1 AS user_number FROM (SELECT DISTINCT "user" FROM ids)),
+items AS (SELECT item, row_number() OVER (ORDER BY item) - 1 AS item_number FROM (SELECT DISTINCT item FROM ids))
+SELECT DISTINCT "user", item, user_number, item_number FROM ids JOIN users USING ("user") JOIN items USING (item)""",
+    "rule_search": f"""
+WITH {JUDGED_FOLDS},
+per_fold AS (
+  SELECT t, fold, round(avg(CASE WHEN y = CASE WHEN q > t THEN 1 ELSE 0 END THEN 1.0 ELSE 0.0 END), 9) AS metric
+  FROM judged, (VALUES (10.0), (20.0), (30.0), (30.5), (40.0)) AS rules(t) GROUP BY ALL),
+means AS (SELECT t::DOUBLE AS threshold, round(avg(metric), 8) AS mean_metric FROM per_fold GROUP BY t)
+SELECT threshold, mean_metric, (row_number() OVER (ORDER BY threshold) - 1)::INTEGER AS point,
+  row_number() OVER (ORDER BY mean_metric DESC, threshold)::INTEGER AS place FROM means""",
+    "dense_als_check": f"""
+WITH {SPLIT} SELECT DISTINCT "user" + 1099511627776 AS "user", 50::BIGINT AS n_items FROM split WHERE split = 'test'""",
+    "topk_check": f"""
+WITH {SPLIT} SELECT DISTINCT "user", 50::BIGINT AS n_items, 50::BIGINT AS n_same FROM split WHERE split = 'test'""",
+}

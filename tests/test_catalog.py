@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_module
-from tallyforge.plans import catalog
+from tallyforge.plans import catalog, model_queries
 from compare import connect, difference
 
 SMALL = "/root/testdata/sf0.001"
@@ -27,7 +27,8 @@ def test_query_agrees_with_sql(spark, con, name):
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n not in ORACLES])
-def test_query_without_sql_gives_rows(spark, name):
+def test_query_without_sql_gives_rows(spark, name, monkeypatch):
+    monkeypatch.setattr(model_queries, "SEARCH_SECONDS", 15.0)  # searches report what they have by then
     assert QUERIES[name](spark, SMALL).count() > 0
 
 
