@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm.graph import components
 from tallyforge.llm.metric_join import LIMIT, links_within
-from tallyforge.llm.scratch import drop, reach_package, store
+from tallyforge.llm.scratch import drop, in_buckets, key_buckets, reach_package, store
 from tallyforge.llm.shingles import Shingler
 
 ORDER_BITS = 19  # shingles are ranked by their rarest word; words are counted in 2 ** ORDER_BITS buckets
@@ -118,7 +118,9 @@ def similarity_classes(
     drop(spark, in_classes_path, *nearer_paths)
 
     wanted = points.join(candidates, F.col("point") == F.col("node")).select(F.col("component").alias("group"), "point", F.col("id").alias("_id"), "digest")
-    texts = source.join(wanted, F.col("id") == F.col("_id")).select("group", "point", "digest", "text")
+    wanted, wanted_path = store(wanted, "wanted")  # few rows, without texts
+    # only texts that may be wanted are shuffled
+    texts = in_buckets(source, "id", key_buckets(wanted, "_id")).join(wanted, F.col("id") == F.col("_id")).select("group", "point", "digest", "text")
 
     def reread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(size)
@@ -145,7 +147,7 @@ def similarity_classes(
         ),
         "similar",
     )
-    drop(spark, described_path, points_path, candidates_path, sets_path, classes_path, *links_paths)
+    drop(spark, described_path, points_path, candidates_path, wanted_path, sets_path, classes_path, *links_paths)
     return result
 
 
@@ -201,7 +203,14 @@ def _not_alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def keep_one_of_each(docs: DataFrame, classes: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The rows of docs that bear the smallest key of their class; rows with a null key stay."""
-    kept = classes.filter(F.col(key) == F.col("component_id")).select(F.col(key).alias("_kept")).distinct()
-    with_key = docs.join(kept, docs[key] == kept["_kept"], "left_semi")
-    return with_key.unionByName(docs.filter(F.col(key).isNull()))
+    """The rows of docs that bear the smallest key of their class; rows with a null key stay.
+
+    Keys that go are put into buckets first: rows in other buckets stay where they are, and
+    only the rest is shuffled to be compared with the keys themselves.
+    """
+    kept = F.max(F.col(key) == F.col("component_id"))
+    gone = classes.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_gone")).agg(kept.alias("_kept")).filter("NOT _kept").select("_gone")
+    gone, _ = store(gone, "gone")
+    buckets = key_buckets(gone, "_gone")
+    doubtful = in_buckets(docs, key, buckets).join(gone, docs[key] == gone["_gone"], "left_anti")
+    return in_buckets(docs, key, buckets, inside=False).unionByName(doubtful)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyforge.session import intermediate_path
 
@@ -45,3 +46,24 @@ def reach_package(spark: SparkSession) -> None:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reach_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+BUCKETS = 1 << 21  # of a prefilter: 8 bytes each, whatever the number of keys
+
+
+def key_buckets(keys: DataFrame, key: str) -> DataFrame:
+    """(bucket): the buckets that hold a key, BUCKETS rows at most, so safe to broadcast."""
+    return keys.select(bucket_of(F.col(key)).alias("bucket")).distinct()
+
+
+def bucket_of(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS))
+
+
+def in_buckets(rows: DataFrame, key: str, buckets: DataFrame, inside: bool = True) -> DataFrame:
+    """The rows whose key falls into one of the buckets, or into none: a join that moves no row.
+
+    An exact join can follow that shuffles only what is left.  With more keys than buckets it
+    leaves out less, never a row too many.
+    """
+    return rows.join(F.broadcast(buckets), bucket_of(F.col(key)) == buckets["bucket"], "left_semi" if inside else "left_anti")
