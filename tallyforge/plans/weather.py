@@ -43,8 +43,13 @@ def linear_study(
     keys: list[str] | None = None,
     seed: int = 42,
     parallelism: int = 2,
+    inner_last: int | None = None,
 ) -> Study:
-    """Elastic-net linear regression on scaled features with cyclic month and hour."""
+    """Elastic-net linear regression on scaled features with cyclic month and hour.
+
+    The search inside the training years cuts at random by key or, with ``inner_last``,
+    fits on the years up to that one and judges points on the later training years.
+    """
     keys = keys or [f.name for f in WEATHER_LAYOUT]
     rows = temporal_split(add_cyclical(records), "year", train, valid, test)
     found = tuning.train_validate(
@@ -52,6 +57,7 @@ def linear_study(
         LinearRegression(featuresCol="features", labelCol=TARGET, maxIter=100),
         points, tuning.rmse_evaluator(TARGET), 80, seed, parallelism,
         canonical=tuning.same_linear_model,
+        in_train=None if inner_last is None else F.col("year") <= inner_last,
     )
     return Study(found.model, _report(found.model, rows), found.metrics)
 

@@ -177,3 +177,17 @@ def test_als_search_goes_on(spark, tmp_path, monkeypatch):
     again, best_again, _ = factors.search_als(ratings, ["user", "item"], points, **options)
     assert len(calls) == 6 and best_again == best
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, table.collect()))
+
+
+def test_a_search_can_cut_by_a_condition(table):
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    stages = [VectorAssembler(inputCols=["size"], outputCol="features")]
+    line = LinearRegression(labelCol="weight", regParam=0.0)
+    judge = RegressionEvaluator(labelCol="weight", metricName="rmse")
+    found = tuning.train_validate(table, ["key"], stages, line, [{"maxIter": 50}], judge, partitions=4, in_train=F.col("key") <= 2000)
+    rows = stages[0].transform(table)
+    alone = line.copy({line.maxIter: 50}).fit(rows.filter("key <= 2000"))
+    assert found.best_metric == pytest.approx(judge.evaluate(alone.transform(rows.filter("key > 2000"))), abs=1e-9)
