@@ -17,10 +17,57 @@ BASE = (
     ("hex", r"[0-9a-f]{24,}", 0, 24),
 )
 KINDS = ("assign", "access", "hex", "random")  # in the order of equal starts
-CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"  # long enough for a likelihood to tell
-IDENTIFIER = r"[A-Za-z0-9+/_-]{6,}"
-SPAN = "array<struct<start:int,end:int,rank:int,value:string>>"
+LETTERS = "[A-Za-z0-9+/_-]"  # of tokens that the models judge
+IDENTIFIER = LETTERS + "{6,}"
+SPAN = "struct<start:int,end:int,rank:int,value:string>"
 MARKS = ("\x01", "\x02", "\x03")
+BLOCK = 256  # items of an array that are gathered one by one
+CHUNK = 1024  # characters of a text that are looked through for one place
+
+
+def let(value: Column, use) -> Column:
+    """use(value), where value is computed once however often use names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def blocks_of(items: Column) -> Column:
+    """An array cut into arrays of BLOCK items; an empty one gives one empty block.  items is named twice."""
+    last = F.floor(F.greatest(F.size(items) - 1, F.lit(0)) / BLOCK).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(items, i * BLOCK + 1, F.lit(BLOCK)))
+
+
+def running(items: Column, begin: Column, advance, emit, kind: str) -> Column:
+    """emit(at, item) of every item, an array of kind, where at begins with begin and goes on as advance(at, item).
+
+    The whole numbers at the beginnings of blocks are found first, then every block is
+    gathered by itself, so an array of n items costs n * BLOCK + (n / BLOCK)^2 short copies.
+    """
+
+    def of_blocks(blocks: Column) -> Column:
+        first = F.struct(begin.alias("at"), F.expr("cast(array() AS array<int>)").alias("all"))
+        starts = F.aggregate(
+            blocks,
+            first,
+            lambda s, block: F.struct(
+                F.aggregate(block, s["at"], advance).alias("at"), F.concat(s["all"], F.array(s["at"])).alias("all")
+            ),
+            lambda s: s["all"],
+        )
+
+        def gather(block: Column, at: Column) -> Column:
+            none = F.struct(at.alias("at"), F.expr(f"cast(array() AS array<{kind}>)").alias("out"))
+            return F.aggregate(
+                block,
+                none,
+                lambda s, item: F.struct(
+                    advance(s["at"], item).alias("at"), F.concat(s["out"], F.array(emit(s["at"], item))).alias("out")
+                ),
+                lambda s: s["out"],
+            )
+
+        return F.flatten(F.zip_with(blocks, starts, gather))
+
+    return let(items, lambda bound: let(blocks_of(bound), of_blocks))
 
 
 def matches(text: Column, pattern: str, rank: int, group: int = 0, least: int = 1) -> Column:
@@ -33,28 +80,37 @@ def matches(text: Column, pattern: str, rank: int, group: int = 0, least: int =
     """
     plain = F.translate(text, "".join(MARKS), "\x04\x04\x04")
     marked = F.regexp_replace(plain, F.lit(pattern), F.lit(f"{MARKS[0]}$0{MARKS[1]}${group}{MARKS[2]}"))
-    pieces = F.split(marked, MARKS[0], -1)
-    begin = F.struct(F.length(F.element_at(pieces, 1)).alias("at"), F.expr(f"cast(array() AS {SPAN})").alias("spans"))
-
-    def step(state: Column, piece: Column) -> Column:
-        parts = F.split(piece, f"[{MARKS[1]}{MARKS[2]}]", -1)
-        start, size = state["at"], F.length(parts[0])
-        span = F.struct(
-            start.alias("start"), (start + size).alias("end"), F.lit(rank).alias("rank"), parts[1].alias("value")
+
+    def measured(piece: Column) -> Column:
+        """Length of the match, its value, and the way from its start to the next one's."""
+        return let(
+            F.split(piece, f"[{MARKS[1]}{MARKS[2]}]", -1),
+            lambda parts: F.struct(
+                F.length(parts[0]).alias("size"), parts[1].alias("value"), (F.length(parts[0]) + F.length(parts[2])).alias("step")
+            ),
         )
-        spans = F.when(F.length(parts[1]) >= least, F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
-        return F.struct((start + size + F.length(parts[2])).alias("at"), spans.alias("spans"))
 
-    rest = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
-    found = F.aggregate(rest, begin, step, lambda state: state["spans"])
-    return F.when(F.rlike(text, F.lit(pattern)), found).otherwise(F.expr(f"cast(array() AS {SPAN})"))
+    def spans(pieces: Column) -> Column:
+        rest = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
+        return running(
+            F.transform(rest, measured),
+            F.length(F.element_at(pieces, 1)),
+            lambda at, m: at + m["step"],
+            lambda at, m: F.struct(at.alias("start"), (at + m["size"]).alias("end"), F.lit(rank).alias("rank"), m["value"].alias("value")),
+            SPAN,
+        )
+
+    found = F.filter(let(F.split(marked, MARKS[0], -1), spans), lambda s: F.length(s["value"]) >= least)
+    return F.when(F.rlike(text, F.lit(pattern)), found).otherwise(F.expr(f"cast(array() AS array<{SPAN}>)"))
 
 
 def _codes(token: Column) -> Column:
     """Codes of a token's neighbouring pairs of ASCII characters, from 1 to 16384."""
-    return F.transform(
-        F.sequence(F.lit(1), F.length(token) - 1),
-        lambda i: F.ascii(F.substring(token, i, F.lit(1))) * 128 + F.ascii(F.substring(token, i + 1, F.lit(1))) + 1,
+    return let(
+        F.transform(F.split(token, ""), F.ascii),
+        lambda c: F.zip_with(
+            F.slice(c, F.lit(1), F.size(c) - 1), F.slice(c, F.lit(2), F.size(c) - 1), lambda a, b: a * 128 + b + 1
+        ),
     )
 
 
@@ -99,28 +155,46 @@ def train_markov(
     return ratio
 
 
-def scan(docs: DataFrame, model: list[float], key: str = "doc_id", text: str = "text", threshold: float = 12.0) -> DataFrame:
+def scan(
+    docs: DataFrame, model: list[float], key: str = "doc_id", text: str = "text", threshold: float = 12.0, shortest: int = 20
+) -> DataFrame:
     """docs with a column `spans`: (start, end, rank, value) in order of start, then kind.
 
-    The fixed patterns BASE, and every run of CANDIDATE outside their spans whose summed
-    log-likelihood ratio is at least threshold (kind "random").  Null and empty texts have
-    no spans.  A clashing column named spans is replaced.
+    The fixed patterns BASE, and every run of at least `shortest` LETTERS outside their
+    spans whose summed log-likelihood ratio is at least threshold (kind "random"); shorter
+    runs are too short for a likelihood to tell.  Time grows as a text's length.
+
+    Null and empty texts have no spans.  Null keys, repeated keys and repeated rows are
+    rows like any; spans that begin together stand in the order of KINDS.  A clashing
+    column named spans is replaced, all others stay.  An empty table gives an empty one.
     """
     source = F.coalesce(F.col(text), F.lit(""))
-    base = F.concat(*(matches(source, p, i, group, least) for i, (_, p, group, least) in enumerate(BASE)))
-    ratios = F.lit(model)
-    score = lambda token: F.aggregate(
-        _codes(token), F.lit(0.0), lambda total, pair: total + F.element_at(ratios, pair)
-    )
-    free = lambda span: ~F.exists(
-        F.col("_base"), lambda b: (b["start"] < span["end"]) & (b["end"] > span["start"])
-    )
-    unusual = F.filter(matches(source, CANDIDATE, len(BASE)), lambda s: (score(s["value"]) >= threshold) & free(s))
-    return (
-        docs.withColumn("_base", base)
-        .withColumn("spans", F.array_sort(F.concat("_base", unusual)))
-        .drop("_base")
-    )
+    base = F.array_sort(F.concat(*(matches(source, p, i, group, least) for i, (_, p, group, least) in enumerate(BASE))))
+    ratios = F.split(F.lit(",".join(map(repr, model))), ",").cast("array<double>")  # a constant, folded once
+
+    def score(token: Column) -> Column:
+        return F.aggregate(_codes(token), F.lit(0.0), lambda total, pair: total + F.element_at(ratios, pair))
+
+    def bounded(block: Column) -> Column:
+        return F.struct(
+            block[0]["start"].alias("start"), F.array_max(F.transform(block, lambda b: b["end"])).alias("end"), block.alias("spans")
+        )
+
+    def meets(span: Column, other: Column) -> Column:
+        return (other["start"] < span["end"]) & (other["end"] > span["start"])
+
+    def all_of(found: Column) -> Column:
+        def outside(blocks: Column) -> Column:
+            free = lambda s: ~F.exists(
+                blocks, lambda block: F.when(meets(s, block), F.exists(block["spans"], lambda b: meets(s, b))).otherwise(F.lit(False))
+            )
+            tokens = matches(source, f"{LETTERS}{{{shortest},}}", len(BASE))
+            return F.filter(tokens, lambda s: (score(s["value"]) >= threshold) & free(s))
+
+        blocks = F.transform(F.filter(blocks_of(found), lambda block: F.size(block) > 0), bounded)
+        return F.array_sort(F.concat(found, let(blocks, outside)))
+
+    return docs.withColumn("spans", let(base, all_of))
 
 
 def kind_of(span: Column) -> Column:
@@ -149,21 +223,30 @@ def redact(scanned: DataFrame, text: str = "text", mark: str = "[SECRET]") -> Da
     """Every stretch covered by spans becomes one mark; the column spans is dropped.
 
     Overlapping spans are one stretch.  Texts without spans, and null texts, stay as they are.
+    Time grows as a text's length.
     """
     body = F.col(text)
 
-    def step(state: Column, span: Column) -> Column:
-        gap = F.concat(
-            state["out"], F.substring(body, state["at"] + 1, span["start"] - state["at"]), F.lit(mark)
+    def cleaned(chunks: Column) -> Column:
+        def part(start: Column, end: Column) -> Column:
+            """Characters from start to end, out of the chunks that hold them."""
+            first = F.floor(start / CHUNK).cast("int")
+            held = F.slice(chunks, first + 1, F.floor((end - 1) / CHUNK).cast("int") - first + 1)
+            joined = F.substring(F.array_join(held, ""), start - first * CHUNK + 1, end - start)
+            return F.when(end > start, joined).otherwise(F.lit(""))
+
+        gaps = running(
+            F.col("spans"),
+            F.lit(0),
+            lambda at, span: F.greatest(at, span["end"]),
+            lambda at, span: F.when(span["start"] >= at, F.concat(part(at, span["start"]), F.lit(mark))).otherwise(F.lit("")),
+            "string",
         )
-        out = F.when(span["start"] >= state["at"], gap).otherwise(state["out"])
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), out.alias("out"))
+        last = F.array_max(F.transform("spans", lambda span: span["end"]))
+        return F.concat(F.array_join(gaps, ""), part(last, F.length(body)))
 
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    cleaned = F.aggregate(
-        "spans", begin, step, lambda s: F.concat(s["out"], F.substring(body, s["at"] + 1, F.length(body)))
-    )
-    return scanned.withColumn(text, F.when(F.size("spans") > 0, cleaned).otherwise(body)).drop("spans")
+    whole = let(F.regexp_extract_all(body, F.lit(rf"(?s).{{1,{CHUNK}}}"), F.lit(0)), cleaned)
+    return scanned.withColumn(text, F.when(F.size("spans") > 0, whole).otherwise(body)).drop("spans")
 
 
 def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
