@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter
+from collections import defaultdict
 from typing import NamedTuple
 
-TOKEN = re.compile(r"""<!--|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?/][^>]*+>""")
+NAME_END = re.compile(r"[\s/>]")
+STOP = re.compile(r"""[>"']""")
+DIGITS = re.compile(r"&#0*([0-9]{1,9})[0-9]*")  # more than nine digits are beyond every character
 NAMES = re.compile(r"""(?:^|[\s"'])(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 # Element names of HTML.
 UNSEEN = frozenset("script style template title noscript textarea select iframe object svg math head-none".split())
@@ -24,6 +26,64 @@ CLOSE = {n: re.compile(rf"</{n}(?=[\s/>])", re.I) for n in UNSEEN}
 DEEPEST = 200  # elements of a path; below, repeated ones are left out above the nearest two
 
 
+class Tag(NamedTuple):
+    start: int
+    end: int
+    name: str  # lower case; "!" for a comment's beginning, empty for declarations and the like
+    closing: bool
+    attributes: str
+
+
+class Tags:
+    """The tags of a page, each found from a place not before the last one's, in time linear in the page.
+
+    A tag is `<`, perhaps `/`, a letter and all up to white space, `/` or `>`, then all up
+    to the first `>` outside quotes.  Where that never comes the `<` is text, unless `!`,
+    `?` or `/` follows it and a `>` comes later.  Starts that fail share what they learned:
+    the ends of their names, their first stops, and the quotes after which no `>` comes.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.last = page, page.rfind(">")
+        self.name_end = self.first_stop = -1  # of the latest start
+        self.hopeless: set[int] = set()  # places of quotes that open and lead to no end
+
+    def find(self, pos: int) -> Tag | None:
+        page = self.page
+        while 0 <= (start := page.find("<", pos)) < self.last:
+            if page.startswith("<!--", start):
+                return Tag(start, start + 4, "!", False, "")
+            closing = page[start + 1] == "/"
+            name = start + 1 + closing
+            if page[name].isascii() and page[name].isalpha():
+                if self.name_end < name:
+                    self.name_end = NAME_END.search(page, name).start()  # `last` is one at the latest
+                end = self._end(self.name_end)
+                if end >= 0:
+                    return Tag(start, end + 1, page[name : self.name_end].lower(), closing, page[self.name_end : end])
+            if page[start + 1] in "!?/":
+                return Tag(start, page.index(">", start) + 1, "", False, "")
+            pos = start + 1
+        return Tag(start, start + 4, "!", False, "") if start >= 0 and (start := page.find("<!--", start)) >= 0 else None
+
+    def _end(self, pos: int) -> int:
+        """Place of the first `>` from pos on that is outside quotes, or -1."""
+        page, tried = self.page, []
+        if self.first_stop < pos:
+            self.first_stop = STOP.search(page, pos).start() if pos <= self.last else len(page)
+        stop = self.first_stop
+        while stop <= self.last and stop not in self.hopeless:
+            if page[stop] == ">":
+                return stop
+            tried.append(stop)
+            close = page.find(page[stop], stop + 1)
+            if not 0 <= close < self.last:
+                break
+            stop = STOP.search(page, close + 1).start()
+        self.hopeless.update(tried)
+        return -1
+
+
 class Block(NamedTuple):
     text: str  # references decoded, white space as one blank, trimmed, not empty
     path: tuple[str, ...]  # open elements from the outermost, as "tag name name ...", see DEEPEST
@@ -40,7 +100,8 @@ def leaf_blocks(page: str | None) -> list[Block]:
     page = page or ""
     out: list[Block] = []
     stack: list[str] = []  # tag names
-    opened: Counter[str] = Counter()  # the same, counted
+    places: dict[str, list[int]] = defaultdict(list)  # where in the stack each name is
+    holders: list[int] = []  # where containers are
     paths: list[tuple[str, ...]] = [()]
     pieces: list[str] = []
     start: tuple[str, ...] = ()
@@ -50,7 +111,7 @@ def leaf_blocks(page: str | None) -> list[Block]:
         nonlocal pieces, linked
         text = "".join(pieces)
         if "&" in text:
-            text = entities.unescape(text)
+            text = entities.unescape(DIGITS.sub(r"&#\1", text) if "&#" in text else text)
         text = " ".join(text.split())
         if text:
             out.append(Block(text, start, linked))
@@ -60,12 +121,15 @@ def leaf_blocks(page: str | None) -> list[Block]:
         nonlocal links
         for name in stack[n:]:
             links -= name == "a"
-            opened[name] -= 1
+            places[name].pop()
+        while holders and holders[-1] >= n:
+            holders.pop()
         del stack[n:], paths[n + 1 :]
 
+    tags = Tags(page)
     while True:
-        token = TOKEN.search(page, pos)
-        piece = page[pos : token.start() if token else len(page)]
+        tag = tags.find(pos)
+        piece = page[pos : tag.start if tag else len(page)]
         if piece:
             if not pieces and not piece.isspace():
                 start = paths[-1]
@@ -73,24 +137,23 @@ def leaf_blocks(page: str | None) -> list[Block]:
                 pieces.append(piece)
             if links:
                 linked += len(piece)
-        if not token:
+        if not tag:
             break
-        pos = token.end()
-        if token.group().startswith("<!--"):
+        pos, name = tag.end, tag.name
+        if name == "!":
             end = page.find("-->", pos)
             pos = end + 3 if end >= 0 else len(page)
             continue
-        if not token[2]:
+        if not name:
             continue
-        name = token[2].lower()
-        if token[1]:
+        if tag.closing:
             if name not in INLINE:
                 flush()
-            if opened[name]:
-                pop(next(i for i in range(len(stack) - 1, -1, -1) if stack[i] == name))
+            if places[name]:
+                pop(places[name][-1])
             continue
         if name in UNSEEN:
-            if not token[3].endswith("/"):
+            if not tag.attributes.endswith("/"):
                 end = CLOSE[name].search(page, pos)
                 close = page.find(">", end.end()) if end else -1
                 pos = close + 1 if close >= 0 else len(page)
@@ -101,16 +164,15 @@ def leaf_blocks(page: str | None) -> list[Block]:
                 continue
         else:
             flush()
-            for i in range(len(stack) - 1, -1, -1) if any(opened[n] for n in ENDS.get(name, ())) else ():
-                if stack[i] in ENDS.get(name, ()):
-                    pop(i)
-                    break
-                if stack[i] in CONTAINERS:
-                    break
+            ended = max((places[n][-1] for n in ENDS.get(name, ()) if places[n]), default=-1)
+            if ended >= 0 and ended >= (holders[-1] if holders else 0):
+                pop(ended)
         if name not in VOID:
+            if name in CONTAINERS:
+                holders.append(len(stack))
+            places[name].append(len(stack))
             stack.append(name)
-            opened[name] += 1
-            paths.append(below(paths[-1], element(name, token[3])))
+            paths.append(below(paths[-1], element(name, tag.attributes)))
             links += name == "a"
     flush()
     return out

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from tallyforge.llm.html_blocks import Block, leaf_blocks
 
 CACHED = 20000  # paths whose features a task remembers
-LONGEST = 120  # blocks of a page that a model learns from; extraction takes whole pages
 
 
 def path_features(path: tuple[str, ...]) -> list[str]:
@@ -231,24 +230,27 @@ def _safe(text: str) -> str:
     return re.sub(r"[<>&\x01]", " ", text)
 
 
-def fit(pages: DataFrame, key: str = "page_id", html: str = "html", sample: int = 200) -> Crf:
-    """A model from the `sample` pages with the smallest hash of their key (a bound on rows).
+def fit(pages: DataFrame, key: str = "page_id", html: str = "html", sample: int = 200, longest: int = 50_000) -> Crf:
+    """A model from whole pages: of those of at most `longest` bytes, the `sample` with the smallest hash of their key.
+
+    Both bounds are on what reaches the driver (10 MB by default) and on nothing else;
+    extraction takes every page.
 
     Pages that mark their text with an article element label themselves: its blocks are
     main text, blocks outside are not.  They are learned from as they are, and laid out
     anew (labelled_layouts), so that the model doesn't hang on one element.  Where no page
     of the sample has an article, the fixed sentences of LAST_RESORT are laid out.
     """
-    present, order = pages.filter(F.col(html).isNotNull()), F.xxhash64(key)
+    present, order = pages.filter(F.octet_length(html) <= longest), F.xxhash64(key)
     last = present.select(order.alias("h")).orderBy("h").limit(sample).agg(F.max("h")).first()[0]  # hashes, not pages
     rows = present.filter(order <= F.lit(last)).orderBy(order, key).select(F.col(html).alias("html")) if last is not None else present
     labelled, parts = [], []
-    for row in rows.limit(sample).collect():  # at most `sample` pages
-        blocks = leaf_blocks(row["html"])[:LONGEST]
+    for row in rows.limit(sample).collect():  # at most `sample` pages of `longest` bytes
+        blocks = leaf_blocks(row["html"])
         labels = [int(any(e.split(" ")[0] == "article" for e in b.path)) for b in blocks]
         if any(labels):
             labelled.append((blocks, labels))
-            parts.append(([b.text for b, y in zip(blocks, labels) if y][:LONGEST // 2], [b.text for b, y in zip(blocks, labels) if not y]))
+            parts.append(([b.text for b, y in zip(blocks, labels) if y], [b.text for b, y in zip(blocks, labels) if not y]))
     return train(labelled + labelled_layouts(parts or LAST_RESORT))
 
 

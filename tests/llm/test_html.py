@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import random
 
 import numpy as np
@@ -135,3 +137,43 @@ def test_no_pages_and_no_articles(spark):
     plain = spark.createDataFrame([(1, "u", "<div>x</div>", None, None)], SCHEMA)
     for table in (empty, plain):
         assert H.extract(table, H.fit(table)).count() == table.count()
+
+
+@pytest.mark.parametrize("unit", ['<a "', "<a ", "<a", "<!", "</", "<a '\"x", "<a \"' ", "<p><b>", "<li>", "&#1"])
+@pytest.mark.parametrize("tail", ["", "x>y"])
+def test_broken_markup_takes_time_as_its_length(unit, tail):
+    began = time.monotonic()
+    leaf_blocks("<p>first</p>" + unit * (1_000_000 // len(unit)) + tail)
+    assert time.monotonic() - began < 20
+
+
+def test_start_tags_below_many_open_elements_take_no_search():
+    began = time.monotonic()
+    blocks = leaf_blocks("<p><button>" + "<b>" * 50_000 + "<h1>x</h1>" * 50_000)
+    assert len(blocks) == 50_000 and time.monotonic() - began < 20
+
+
+def test_tags_that_never_end_are_text():
+    assert texts("<p>a < b <c") == ["a < b <c"]
+    assert texts("<a \"x <b>y</b>") == ['<a "x', "y"] or texts("<a \"x <b>y</b>") == ['<a "x y']
+    assert texts("a</>b<!>c<?x>d") == ["abcd"]
+    assert texts("<div title='a>b' class=\"c\">x</div>") == ["x"]
+
+
+def test_number_references_of_any_length():
+    assert texts("<p>a&#" + "1" * 6000 + ";b&#" + "0" * 6000 + "65;c&#0;&#x41;</p>") == ["a�bAc�A"]
+
+
+def test_training_takes_whole_pages_up_to_its_bound(spark):
+    page = "<nav><a>menu</a></nav><article>" + "<p>Some sentence of the text.</p>" * 200 + "</article><footer>end of the page</footer>"
+    rows = [(i, page) for i in range(4)] + [(9, "<p>" + "x" * 60_000)]
+    seen = []
+    learn = H.train
+    try:
+        H.train = lambda pages, *rest: seen.extend(pages) or learn(pages[:8], *rest)
+        H.fit(spark.createDataFrame(rows, "page_id long, html string"))
+    finally:
+        H.train = learn
+    own = [(blocks, labels) for blocks, labels in seen if len(blocks) == 202 and blocks[0].text == "menu"]
+    assert len(own) >= 4 and all(sum(labels) == 200 and labels[-1] == 0 for _, labels in own[:4])
+    assert max(len(b.text) for blocks, _ in seen for b in blocks) < 1000
