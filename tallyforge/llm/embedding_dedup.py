@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from tallyforge.llm.graph import components
 from tallyforge.llm.local_union import Union
 from tallyforge.llm.scratch import drop, store
+from tallyforge.llm.vector_sums import vector_sums
 
 TILE = 2048  # vectors of a tile
 STEPS = (8, 16, 32)  # leading dimensions after which a pair may be given up
@@ -138,18 +139,16 @@ def _unit(x: np.ndarray) -> np.ndarray:
 def _bases(distinct: DataFrame, kind) -> dict[int, np.ndarray]:
     """Eigenvectors, largest eigenvalue first, of the second moments of all unit vectors of each length."""
 
-    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def moments(batches: Iterator[pa.RecordBatch]) -> dict[int, np.ndarray]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             rows = batch.column(0).to_pylist()
             for size in {len(v) for v in rows}:
                 x = np.array([_unit(np.frombuffer(v, kind)) for v in rows if len(v) == size])
                 sums[x.shape[1]] = sums.get(x.shape[1], 0) + x.T @ x
-        yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array([m.tobytes() for m in sums.values()], pa.binary())], ["d", "m"])
+        return {d: m.reshape(-1) for d, m in sums.items()}
 
-    total: dict[int, np.ndarray] = {}
-    for row in distinct.select("v").mapInArrow(moments, "d int, m binary").toLocalIterator():  # d * d numbers per task
-        total[row["d"]] = total.get(row["d"], 0) + np.frombuffer(row["m"]).reshape(row["d"], row["d"])
+    total = {d: m.reshape(d, d) for d, m in vector_sums(distinct.select("v"), moments, np.float64).items()}
     return {d: np.linalg.eigh(m)[1][:, ::-1] for d, m in total.items()}
 
 

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyforge.llm.vector_sums import vector_sums
+
 BITS = 18  # n-grams fall into 2 ** BITS buckets
 SIZES = (4, 5, 6, 7)  # characters of an n-gram, blanks at word edges included
 CHUNK = 1 << 21  # characters hashed in one numpy pass
@@ -111,20 +113,20 @@ def fit(
     chosen = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(picked), "_key")
     chosen = chosen.select("_label", "_text")
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, n = np.zeros((2, 1 << BITS), dtype=np.int32), [0, 0]
+    def count(batches: Iterator[pa.RecordBatch]) -> dict[int, np.ndarray]:
+        """Of each class the texts that hold each bucket, and in the last place their number."""
+        counts = {}
         for batch in batches:
             marks = batch.column(0).to_pylist()
             for i, found in buckets_of(batch.column(1).to_pylist()):
-                counts[marks[i], found] += 1
-                n[marks[i]] += 1
-        yield pa.record_batch([pa.array([0, 1]), pa.array(n), pa.array([c.tobytes() for c in counts])], ["label", "n", "counts"])
-
-    counts, n = np.zeros((2, 1 << BITS)), np.zeros(2)
-    counted = chosen.mapInArrow(count, "label long, n long, counts binary").filter("n > 0")
-    for row in counted.toLocalIterator():  # a vector of 2 ** BITS counts per task and class, added up one by one
-        counts[row["label"]] += np.frombuffer(row["counts"], dtype=np.int32)
-        n[row["label"]] += row["n"]
+                of_class = counts.setdefault(marks[i], np.zeros((1 << BITS) + 1, dtype=np.int64))
+                of_class[found] += 1
+                of_class[-1] += 1
+        return counts
+
+    sums = vector_sums(chosen, count)
+    both = np.array([sums.get(c, np.zeros((1 << BITS) + 1)) for c in (0, 1)], dtype=np.float64)
+    counts, n = both[:, :-1], both[:, -1]
     if not n.all():
         return Model(weights, float(share))
     rates = (counts + smoothing) / (n[:, None] + 2 * smoothing)
