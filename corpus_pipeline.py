@@ -28,9 +28,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced in the text; n_chars follows."""
-    scanned = secret_scan.scan_secrets(docs).withColumn("_found", F.size("spans") > 0)
+    found = max(docs.columns, key=len) + "_found"  # no column of docs has this name
+    scanned = secret_scan.scan_secrets(docs).withColumn(found, F.size("spans") > 0)
     cleaned = secret_scan.redact(scanned)
-    n_chars = F.when(F.col("_found"), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    n_chars = F.when(F.col(found), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
     return cleaned.withColumn("n_chars", n_chars).select(*docs.columns)
 
 
