@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.graph import components
+from tallyforge.llm.link_counts import link_counts
 from tallyforge.llm.metric_join import LIMIT, links_within
 from tallyforge.llm.scratch import drop, in_buckets, key_buckets, reach_package, store
 from tallyforge.llm.shingles import Shingler
@@ -21,12 +22,21 @@ BINS, FINE = 128, 2048  # of a folded set, and of one folded less
 
 
 def similarity_classes(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, num: int = 90, den: int = 100, limit: int = LIMIT
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    size: int = 3,
+    num: int = 90,
+    den: int = 100,
+    limit: int = LIMIT,
+    links: bool = False,
 ) -> DataFrame:
-    """One row per row of docs: key, n_shingles, component_id.
+    """One row per row of docs: key, n_shingles, component_id; with links=True also n_links.
 
     Two rows link when den * |A & B| >= num * |A | B| for their sets of distinct
-    `size`-word shingles (see Shingler); component_id is the smallest key reachable.
+    `size`-word shingles (see Shingler); component_id is the smallest key reachable, n_links
+    the number of other rows with a key that a row links to (equal sets are told apart by
+    count alone; null for rows without a key).
 
     1. Equal sets are one point with its smallest key.
     2. Singletons {s} are the first pivots.  A set is at distance 1 - 1/|A| from the
@@ -41,7 +51,9 @@ def similarity_classes(
        below the Jaccard distance: pivots, Voronoi regions, windows, blocks for regions
        that are too large for a task.  The classes it leaves are candidates;
        in each of them the same is done once more with finer folds, which part long texts.
-    4. In every class metric_join works on the sets themselves, read again from the texts.
+    4. In every class metric_join works on the sets themselves, read again from the texts;
+       link_counts does where links are asked for: recursive regions of the nearest pivot,
+       with windows of twice the threshold, verify every link once.
     The counts behind the order cover all rows; they decide how fast the join is, not what
     it finds.  Copies and near copies of any number cost a region each, never all pairs.
 
@@ -78,7 +90,7 @@ def similarity_classes(
     points = (
         described.filter("n > 0")
         .groupBy("digest")
-        .agg(F.min("id").alias("id"), F.max("n").alias("n"), *(F.min(c).alias(c) for c in ("regions", "folded", "fine")))
+        .agg(F.min("id").alias("id"), F.count("id").alias("weight"), F.max("n").alias("n"), *(F.min(c).alias(c) for c in ("regions", "folded", "fine")))
         .filter("id IS NOT NULL")
         .withColumn("point", F.monotonically_increasing_id())
     )
@@ -117,10 +129,10 @@ def similarity_classes(
     candidates, candidates_path = components(nearer, "nearer-classes")
     drop(spark, in_classes_path, *nearer_paths)
 
-    wanted = points.join(candidates, F.col("point") == F.col("node")).select(F.col("component").alias("group"), "point", F.col("id").alias("_id"), "digest")
+    wanted = points.join(candidates, F.col("point") == F.col("node")).select(F.col("component").alias("group"), "point", F.col("id").alias("_id"), "digest", "weight")
     wanted, wanted_path = store(wanted, "wanted")  # few rows, without texts
     # only texts that may be wanted are shuffled
-    texts = in_buckets(source, "id", key_buckets(wanted, "_id")).join(wanted, F.col("id") == F.col("_id")).select("group", "point", "digest", "text")
+    texts = in_buckets(source, "id", key_buckets(wanted, "_id")).join(wanted, F.col("id") == F.col("_id")).select("group", "point", "digest", "text", "weight")
 
     def reread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(size)
@@ -128,22 +140,33 @@ def similarity_classes(
             sets = [shingler(one) for one in batch.column(3).to_pylist()]
             own = [_digest(s) == d for s, d in zip(sets, batch.column(2).to_pylist())]  # not another row of the key
             sets = pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())
-            yield pa.record_batch([batch.column(0), batch.column(1), sets], ["group", "id", "payload"]).filter(pa.array(own, pa.bool_()))
-
-    sets, sets_path = store(texts.mapInArrow(reread, "group long, id long, payload binary"), "candidate-sets")
-    links, links_paths = links_within(sets, "sets", num, den, limit, "links")
-    classes, classes_path = components(links, "classes")
-
-    named = points.select("point", "digest", "id").join(classes, F.col("point") == F.col("node"), "left")
-    named = named.select("digest", "id", F.coalesce("component", "point").alias("class"))
+            read = [batch.column(0), batch.column(1), sets, batch.column(4)]
+            yield pa.record_batch(read, ["group", "id", "payload", "weight"]).filter(pa.array(own, pa.bool_()))
+
+    sets, sets_path = store(texts.mapInArrow(reread, "group long, id long, payload binary, weight long"), "candidate-sets")
+    if links:
+        counted, links_paths = link_counts(sets, num, den, limit, "links")
+        found = counted.filter("id <> root").select(F.col("id").alias("u"), F.col("root").alias("v"))
+    else:
+        found, links_paths = links_within(sets.drop("weight"), "sets", num, den, limit, "links")
+    classes, classes_path = components(found, "classes")
+
+    named = points.select("point", "digest", "id", "weight").join(classes, F.col("point") == F.col("node"), "left")
+    named = named.select("point", "digest", "id", "weight", F.coalesce("component", "point").alias("class"))
     smallest = named.groupBy("class").agg(F.min("id").alias("smallest"))
-    known = named.join(smallest, "class").select(F.col("digest").alias("_digest"), "smallest")
+    named = named.join(smallest, "class")
+    if links:
+        by_point = counted.groupBy(F.col("id").alias("_point")).agg(F.sum("n").alias("n"))
+        named = named.join(by_point, F.col("point") == F.col("_point"), "left")
+        named = named.withColumn("n_links", F.col("weight") - 1 + F.coalesce("n", F.lit(0)))
+    known = named.select(F.col("digest").alias("_digest"), "smallest", *(["n_links"] if links else []))
     result = described.select("id", "n", "digest").join(known, F.col("digest") == F.col("_digest"), "left")
     result, _ = store(
         result.select(
             F.col("id").alias(key),
             F.col("n").alias("n_shingles"),
             F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("smallest")).alias("component_id"),
+            *([F.when(F.col("id").isNotNull(), F.coalesce("n_links", F.lit(0))).alias("n_links")] if links else []),
         ),
         "similar",
     )

@@ -28,7 +28,7 @@ def tokenizer_file(name: str = BPE_FILE) -> str:
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity_classes(table(spark, sf_dir, "documents"), size=3, num=90, den=100)
+    return similarity_classes(table(spark, sf_dir, "documents"), size=3, num=90, den=100, links=True)
 
 
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

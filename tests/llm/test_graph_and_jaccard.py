@@ -82,6 +82,26 @@ def corpus(seed=1):
     return rows + [(1000 + i, t) for i, t in enumerate(odd)] + [(3, "a b"), (3, rows[20][1]), (None, "one"), (None, "nothing like it at all")]
 
 
+def brute_links(rows, size, num, den):
+    """(key, n_links): other rows with a key that link."""
+    sets = shingle_sets(rows, size)
+    n = [0] * len(rows)
+    for (i, a), (j, b) in combinations(enumerate(sets), 2):
+        if a and b and den * len(a & b) >= num * len(a | b):
+            n[i] += rows[j][0] is not None
+            n[j] += rows[i][0] is not None
+    return sorted(((key, k if key is not None else None) for (key, _), k in zip(rows, n)), key=str)
+
+
+@pytest.mark.parametrize("size, num, limit", [(3, 90, 2000), (5, 80, 10)])
+def test_links_against_brute_force(spark, size, num, limit):
+    rows = corpus()
+    docs = with_clashing_columns(documents(spark, rows))
+    found = similarity_classes(docs, size=size, num=num, limit=limit, links=True).collect()
+    assert sorted((tuple(r[:3]) for r in found), key=str) == brute(rows, size, num, 100)
+    assert sorted(((r["doc_id"], r["n_links"]) for r in found), key=str) == brute_links(rows, size, num, 100)
+
+
 @pytest.mark.parametrize("size, num, limit", [(3, 90, 2000), (5, 80, 2000), (3, 90, 4)])
 def test_classes_against_brute_force(spark, size, num, limit):
     """limit=4 sends the regions through pivots, core, boundary and blocks."""
@@ -100,3 +120,4 @@ def test_one_of_each_class_stays(spark):
 
 def test_empty_table(spark):
     assert similarity_classes(documents(spark, [])).collect() == []
+    assert similarity_classes(documents(spark, []), links=True).collect() == []

@@ -7,7 +7,7 @@ from compare import connect, difference
 
 SMALL = "/root/testdata/sf0.001"
 CONTRACT = {
-    "op1_": {"doc_id", "n_shingles", "component_id"},
+    "op1_": {"doc_id", "n_shingles", "component_id", "n_links"},
     "op2_": {"page_id", "url", "text", "n_chars"},
     "op3_": {"doc_id", "start", "n_tokens", "ids_crc32"},
     "op4_": {"doc_id", "n_pieces", "score", "round_trip"},
