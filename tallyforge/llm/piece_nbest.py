@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 REMEMBERED = 400_000  # stretches whose best path a task keeps at hand
+KEPT = 64  # characters of a stretch up to which it is kept, so that all of them have a bound in bytes
 TOGETHER = 32  # characters of a stretch up to which those of one length are solved in one numpy pass
 SPACE = "▁"  # stands for a blank
 LOWEST = -1e8  # scores below mark pieces that are out of use
@@ -203,6 +204,8 @@ class Pieces:
         return out
 
     def _paths(self, text: str, n: int) -> list[tuple[bytes, float]]:
+        if len(text) > KEPT:
+            return self.paths(text, n)
         if len(self.searched) >= REMEMBERED // 8:
             self.searched.clear()
         if (text, n) not in self.searched:
@@ -214,9 +217,20 @@ class Pieces:
 
     def n_best(self, text: str, n: int, seen: dict) -> list[tuple[bytes, float]]:
         """The n best segmentations of a whole text, best first: (ids, score)."""
-        stretches = self.stretches(text)
-        self.learn({one for one in stretches if one not in seen}, seen)
-        return self.combine(stretches, n, seen)
+        return self.n_best_of([text], n, seen)[0]
+
+    def n_best_of(self, texts: list[str], n: int, seen: dict) -> list[list[tuple[bytes, float]]]:
+        """n_best of every text; the new stretches of all are solved together, long ones are forgotten at the end."""
+        if len(seen) >= REMEMBERED:
+            seen.clear()
+        stretches = [self.stretches(text) for text in texts]
+        new = {one for s in stretches for one in s if one not in seen}
+        self.learn(new, seen)
+        found = [self.combine(s, n, seen) for s in stretches]
+        for one in new:
+            if len(one) > KEPT:
+                del seen[one]
+        return found
 
     def combine(self, stretches: list[str], n: int, seen: dict) -> list[tuple[bytes, float]]:
         """The n best paths through stretches that are all in seen.
@@ -369,11 +383,8 @@ def _segmented(docs, model, n, key, text, fields, rows) -> DataFrame:
             keys, texts = batch.column(0), batch.column(1).to_pylist()
             for at in range(0, len(texts), 256):
                 part = texts[at : at + 256]
-                if len(seen) >= REMEMBERED:
-                    seen.clear()
-                stretches = [pieces.stretches(t or "") for t in part]
-                pieces.learn({one for s in stretches for one in s if one not in seen}, seen)
-                columns, names = rows(pieces, [pieces.combine(s, n, seen) for s in stretches], keys.slice(at, 256), part)
+                found = pieces.n_best_of([t or "" for t in part], n, seen)
+                columns, names = rows(pieces, found, keys.slice(at, 256), part)
                 yield pa.record_batch(columns, names)
 
     return source.mapInArrow(run, f"`{key}` {source.schema['_key'].dataType.simpleString()}, {fields}")

@@ -6,13 +6,16 @@ import numpy as np
 import xxhash
 
 REMEMBERED = 300_000  # words whose hashes a task keeps at hand
+KEPT = 64  # bytes of a word up to which it is kept
 
 
 class _Words(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= KEPT:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = value
         return value
 
 

@@ -8,6 +8,7 @@ import pytest
 from helpers import documents, with_clashing_columns
 
 from tallyforge.llm import piece_nbest as P
+from tallyforge.llm.shingles import KEPT, Shingler
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -64,3 +65,20 @@ def test_rows(spark):
     assert [r["rank"] for r in ranked] == [1, 2, 3, 4]
     assert np.allclose([r["score"] for r in ranked], all_paths(P.pieces_of(MODEL), " double  blanks \n")[:4])
     assert P.summary(documents(spark, []), MODEL).collect() == []
+
+
+def test_long_stretches_are_not_kept(pieces):
+    """Texts without blanks, one stretch each: what a task keeps has a bound in bytes."""
+    dice, seen = random.Random(8), {}
+    texts = ["".join(dice.choices("abcdefgh", k=dice.randint(10, 3_000))) for _ in range(60)]
+    found = pieces.n_best_of([*texts, texts[0], "", "of the"], 4, seen)
+    assert [f[0] for f in found] == [pieces.n_best(t, 4, {})[0] for t in [*texts, texts[0], "", "of the"]]
+    assert seen and max(map(len, seen)) <= P.KEPT and all(len(t) <= P.KEPT for t, _ in pieces.searched)
+
+
+def test_long_words_are_not_kept():
+    shingler = Shingler(1)
+    text = " ".join("x" * k for k in range(1, 500))
+    first = shingler(text)
+    assert (shingler(text) == first).all() and len(first) == 499
+    assert max(map(len, shingler.words)) == KEPT
