@@ -106,6 +106,33 @@ def test_blocks_of_small_items_are_left_out(spark):
     assert counted["block_pairs"] == 100 and counted["met"] <= 40
 
 
+def test_lists_of_many_stripes_hold_k_rows_a_user(spark, monkeypatch):
+    """Tasks hand on no more than the lists, ties go by item, and no scoring of Spark ML's is asked for."""
+    rng = np.random.default_rng(5)
+
+    def rows(n):
+        return spark.createDataFrame([(3 * i, [float(x) for x in rng.integers(-2, 4, 3)]) for i in range(n)], "id int, features array<float>").cache()
+
+    class Given:
+        rank, userFactors, itemFactors = 3, rows(60), rows(90)
+
+    monkeypatch.setattr(topk, "STRIPE", 7)
+    monkeypatch.setattr(topk, "ITEMS", 16)
+    stored = []
+    write = topk.write_intermediate
+    monkeypatch.setattr(topk, "write_intermediate", lambda df, label, **k: stored.append((label, write(df, label, **k))) or stored[-1][1])
+    users = spark.createDataFrame([(3 * i,) for i in range(50)] + [(0,), (1,), (None,)], "user long")
+    x, y = ({r.id: np.array(r.features) for r in f.collect()} for f in (Given.userFactors, Given.itemFactors))
+    want = {(u, i) for u in range(0, 150, 3) for i in sorted(y, key=lambda i: (-(x[u] @ y[i]), i))[:8]}
+    for lists in (factors.recommend(Given, users, 8), topk.top_k(Given, users, 8, user_block=3, item_block=5)):
+        found = lists.collect()
+        assert len(found) == len(want) and {(r["user"], r["item"]) for r in found} == want
+        assert all(r["score"] == x[r["user"]] @ y[r["item"]] for r in found)
+    handed_on = [df for label, df in stored if label == "lists"]
+    assert [df.filter("user IS NOT NULL").count() for df in handed_on] == [400, 400]
+    assert all(df.filter("user IS NULL").count() > 3 for df in handed_on)  # stripes
+
+
 def test_folded_in_users_equal_the_fit(ratings):
     model = factors.fit_als(ratings, rank=4, regParam=0.1, alpha=2.0, iterations=3)
     users = {r.id: np.array(r.features, float) for r in model.userFactors.collect()}
