@@ -448,7 +448,8 @@ def ols_holdout(spark, sf_dir):
     lines = fx.ordered_lines(spark, sf_dir).select(
         F.year("o_orderdate").alias("year"), (F.col("l_extendedprice") / 1000).alias("price"), "l_quantity", "l_discount"
     )
-    rows = splits.temporal_split(lines, "year", (1995, 1999), 2000, 2001)
+    rows = splits.temporal_split(lines, "year", (1995, 1999), 2000, 2001).drop("year")
+    rows = write_intermediate(rows, "yearly-lines", partition_by="split")  # every stage of the fit reads them again
     stages = features.scaled_stages(["l_quantity", "l_discount"])
     model = Pipeline(stages=[*stages, LinearRegression(labelCol="price", maxIter=100)]).fit(rows.filter("split = 'train'"))
     scored = model.transform(rows.filter("split <> 'train'"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.operators import splits, tuning
 from tallyforge.operators.features import LINEAR_FEATURES, add_cyclical
-from tallyforge.plans import fixtures as fx, recommender, survey, weather
+from tallyforge.plans import catalog, fixtures as fx, recommender, survey, weather
 from tallyforge.plans.catalog import QUERIES
 from tallyforge.session import shared_folder
 from tallyforge.sources import survey as survey_source
@@ -89,3 +89,19 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(l_quantity,30.0)" in plan
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in plan
+
+
+def test_holdout_joins_lines_and_orders_once(spark, tmp_path, monkeypatch):
+    """The passes of the fit and the scoring read stored rows."""
+    spark.range(200).selectExpr(
+        "id AS o_orderkey", "timestamp_ntz '1995-06-01 00:00:00' + make_interval(int(id % 7)) AS o_orderdate"
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(1000).selectExpr(
+        "id % 200 AS l_orderkey", "double(id % 50) AS l_quantity", "double(id % 7) / 100 AS l_discount",
+        "double(id % 50) * 30 + id % 11 AS l_extendedprice",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    scored, judge = [], catalog.metrics.regression_metrics_by
+    monkeypatch.setattr(catalog.metrics, "regression_metrics_by", lambda df, *a: judge(scored.append(df) or df, *a))
+    found = {r["split"]: r["n"] for r in catalog.ols_holdout(spark, str(tmp_path)).collect()}
+    assert found == {"valid": 140, "test": 140}
+    assert "Join" not in scored[0]._jdf.queryExecution().optimizedPlan().toString()
