@@ -13,6 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tallyforge.operators import factors, features, metrics, tree_depths, tuning
+from tallyforge.plans import model_queries
 from tallyforge.operators.ledger import Ledger, fingerprint, point_key
 from tallyforge.plans import survey
 
@@ -191,3 +192,22 @@ def test_a_search_can_cut_by_a_condition(table):
     rows = stages[0].transform(table)
     alone = line.copy({line.maxIter: 50}).fit(rows.filter("key <= 2000"))
     assert found.best_metric == pytest.approx(judge.evaluate(alone.transform(rows.filter("key > 2000"))), abs=1e-9)
+
+
+def test_search_partitions_follow_the_line_items(spark, tmp_path, monkeypatch):
+    """A partition of the training rows stays bounded on larger tables; small tables keep the number they had."""
+    seen = []
+
+    def study(*_, partitions, **__):
+        seen.append(partitions)
+        raise tuning.Unfinished(None, 0, 1)
+
+    monkeypatch.setattr(model_queries.fx, "survey_like", lambda *_: None)
+    monkeypatch.setattr(model_queries.survey, "tree_study", study)
+    monkeypatch.setattr(model_queries.survey, "forest_study", study)
+    monkeypatch.setattr(model_queries, "SEARCH_ROWS", 10, raising=False)
+    for rows in (160, 161, 1000):
+        spark.range(rows).write.parquet(f"{tmp_path}/{rows}/lineitem.parquet")
+        for query in (model_queries.dt_cv, model_queries.dt_tvs, model_queries.rf_multiclass_cv):
+            query(spark, f"{tmp_path}/{rows}")
+    assert seen == [16] * 3 + [17] * 3 + [100] * 3
