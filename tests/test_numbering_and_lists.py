@@ -133,6 +133,13 @@ def test_lists_of_many_stripes_hold_k_rows_a_user(spark, monkeypatch):
     assert all(df.filter("user IS NULL").count() > 3 for df in handed_on)  # stripes
 
 
+def test_many_users_get_wider_stripes(spark):
+    """The copies of the items do not grow with the users."""
+    sizes = [topk._stripe(spark.range(n), 50) for n in (100, 450_000, 1_000_000, 5_000_000)]
+    assert sizes == [16_384, 16_384, 31_250, 65_536]
+    assert topk._stripe(spark.range(5_000_000), 1 << 20) == 4  # a task's lists have a bound too
+
+
 def test_folded_in_users_equal_the_fit(ratings):
     model = factors.fit_als(ratings, rank=4, regParam=0.1, alpha=2.0, iterations=3)
     users = {r.id: np.array(r.features, float) for r in model.userFactors.collect()}
