@@ -133,6 +133,14 @@ def test_lists_of_many_stripes_hold_k_rows_a_user(spark, monkeypatch):
     assert all(df.filter("user IS NULL").count() > 3 for df in handed_on)  # stripes
 
 
+def test_lists_are_those_of_spark_to_the_last_digit(ratings, model):
+    asked = ratings.select("user").distinct()
+    theirs = model.recommendForUserSubset(asked, 20).select("user", F.inline("recommendations")).collect()
+    want = {(r["user"], r["item"]): r["rating"] for r in theirs}
+    for lists in (factors.recommend(model, asked, 20), topk.top_k(model, asked, 20, user_block=4, item_block=32)):
+        assert {(r["user"], r["item"]): r["score"] for r in lists.collect()} == want
+
+
 def test_many_users_get_wider_stripes(spark):
     """The copies of the items do not grow with the users."""
     sizes = [topk._stripe(spark.range(n), 50) for n in (100, 450_000, 1_000_000, 5_000_000)]
