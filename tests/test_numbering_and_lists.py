@@ -148,6 +148,55 @@ def test_many_users_get_wider_stripes(spark):
     assert topk._stripe(spark.range(5_000_000), 1 << 20) == 4  # a task's lists have a bound too
 
 
+@pytest.fixture
+def falling(spark, monkeypatch):
+    """A model whose items get smaller by and by, in blocks of 50 before stripes of about 10 users; what the lists store."""
+    rng = np.random.default_rng(8)
+
+    def rows(n, fall):
+        vectors = (np.abs(rng.normal(size=(n, 3))) + 0.2) * fall ** np.arange(n)[:, None]
+        return spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "id int, features array<float>").cache()
+
+    class Falling:
+        rank, userFactors, itemFactors = 3, rows(50, 1.0), rows(1000, 0.99)
+
+    stored = {}
+    write = topk.write_intermediate
+    for name, value in (("STRIPE", 10), ("ITEMS", 50), ("HEAD", 100)):
+        monkeypatch.setattr(topk, name, value, raising=False)
+    monkeypatch.setattr(topk, "write_intermediate", lambda df, label, **k: stored.setdefault(label, write(df, label, **k)))
+    return Falling, stored
+
+
+def met_pairs(stored):
+    """Pairs of a user and a block of items that were scored, of 50 times 20."""
+    return stored["lists"].agg(F.sum("met")).first()[0]
+
+
+def test_asked_users_meet_only_items_that_can_be_listed(falling):
+    model, stored = falling
+    users = model.userFactors.select(F.col("id").alias("user"))
+    found = {tuple(r) for r in factors.recommend(model, users, 10).collect()}
+    assert 50 <= met_pairs(stored) <= 400
+    assert 3 <= stored["reach"].count() <= 5 and stored["reach"].filter("reach > 0").count() > 0
+    stored.clear()
+    assert found == {tuple(r) for r in topk.all_scored(model, users, 10).collect()} and len(found) == 500
+
+
+def test_a_norm_of_nan_hides_no_other_item(spark, falling):
+    model, stored = falling
+    odd = spark.createDataFrame([(2000, [float("nan"), 1.0, 1.0]), (2001, [9.0, 0.0, 0.0]), (2002, [0.0, 0.0, 0.0])], model.itemFactors.schema)
+    none = spark.createDataFrame([(60, [0.0, 0.0, 0.0]), (61, [-1.0, -1.0, -1.0])], model.userFactors.schema)
+
+    class Odd:
+        rank, userFactors, itemFactors = 3, model.userFactors.unionByName(none), model.itemFactors.unionByName(odd)
+
+    users = Odd.userFactors.select(F.col("id").alias("user"))
+    mine = {tuple(r) for r in factors.recommend(Odd, users, 10).collect()}
+    stored.clear()
+    assert mine == {tuple(r) for r in topk.all_scored(Odd, users, 10).collect()} and len(mine) == 520
+
+
 def test_folded_in_users_equal_the_fit(ratings):
     model = factors.fit_als(ratings, rank=4, regParam=0.1, alpha=2.0, iterations=3)
     users = {r.id: np.array(r.features, float) for r in model.userFactors.collect()}
