@@ -183,6 +183,16 @@ def test_asked_users_meet_only_items_that_can_be_listed(falling):
     assert found == {tuple(r) for r in topk.all_scored(model, users, 10).collect()} and len(found) == 500
 
 
+def test_held_out_metrics_score_items_that_can_be_listed(falling, monkeypatch):
+    model, stored = falling
+    held = model.userFactors.select(F.col("id").alias("user"), F.explode(F.array(F.lit(0), F.col("id") + 3, F.lit(900))).alias("item"))
+    mine = [tuple(r) for r in factors.held_out_metrics(model, held, 10).collect()]
+    assert met_pairs(stored) <= 400
+    stored.clear()
+    monkeypatch.setattr(factors, "recommend", topk.all_scored)
+    assert mine == [tuple(r) for r in factors.held_out_metrics(model, held, 10).collect()] and len(mine) == 1
+
+
 def test_a_norm_of_nan_hides_no_other_item(spark, falling):
     model, stored = falling
     odd = spark.createDataFrame([(2000, [float("nan"), 1.0, 1.0]), (2001, [9.0, 0.0, 0.0]), (2002, [0.0, 0.0, 0.0])], model.itemFactors.schema)
