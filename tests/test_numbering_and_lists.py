@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyforge.operators import factors, features, numbering, topk
+from tallyforge.plans import model_queries, recommender
 
 
 @pytest.fixture(scope="module")
@@ -193,6 +194,15 @@ def test_held_out_metrics_score_items_that_can_be_listed(falling, monkeypatch):
     assert mine == [tuple(r) for r in factors.held_out_metrics(model, held, 10).collect()] and len(mine) == 1
 
 
+def test_the_list_check_scores_items_that_can_be_listed(spark, falling, monkeypatch):
+    model, stored = falling
+    held = model.userFactors.select(F.col("id").alias("user"))
+    monkeypatch.setattr(model_queries, "prepared", lambda *_: recommender.Prepared(None, None, held, None))
+    monkeypatch.setattr(factors, "fit_als", lambda _: model)
+    assert sorted(map(tuple, model_queries.als_list_check(spark, "").collect())) == [(u, 50, 50, 50) for u in range(50)]
+    assert met_pairs(stored) <= 400
+
+
 def test_a_norm_of_nan_hides_no_other_item(spark, falling):
     model, stored = falling
     odd = spark.createDataFrame([(2000, [float("nan"), 1.0, 1.0]), (2001, [9.0, 0.0, 0.0]), (2002, [0.0, 0.0, 0.0])], model.itemFactors.schema)
