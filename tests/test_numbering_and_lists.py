@@ -203,6 +203,17 @@ def test_the_list_check_scores_items_that_can_be_listed(spark, falling, monkeypa
     assert met_pairs(stored) <= 400
 
 
+def test_keyed_lists_score_items_that_can_be_listed(falling):
+    model, stored = falling
+    users = model.userFactors.select((F.col("id") + (1 << 40)).alias("user"), F.col("id").alias("dense"))
+    items = model.itemFactors.select(F.format_string("i%04d", "id").alias("item"), F.col("id").alias("dense"))
+    mine = {(r["user"] - (1 << 40), int(r["item"][1:])): r["score"] for r in factors.recommend_keyed(factors.KeyedFactors(model, users, items), users, 10).collect()}
+    assert met_pairs(stored) <= 400
+    stored.clear()
+    theirs = topk.all_scored(model, users.select(F.col("dense").alias("user")), 10).collect()
+    assert mine == {(r["user"], r["item"]): r["score"] for r in theirs}
+
+
 def test_a_norm_of_nan_hides_no_other_item(spark, falling):
     model, stored = falling
     odd = spark.createDataFrame([(2000, [float("nan"), 1.0, 1.0]), (2001, [9.0, 0.0, 0.0]), (2002, [0.0, 0.0, 0.0])], model.itemFactors.schema)
