@@ -211,3 +211,44 @@ def test_search_partitions_follow_the_line_items(spark, tmp_path, monkeypatch):
         for query in (model_queries.dt_cv, model_queries.dt_tvs, model_queries.rf_multiclass_cv):
             query(spark, f"{tmp_path}/{rows}")
     assert seen == [16] * 3 + [17] * 3 + [100] * 3
+
+
+def test_factor_models_keep_nothing_in_memory(spark, tmp_path):
+    """Several fits side by side would fill the heap with blocks, on which each builds whole blocks more."""
+
+    def held():
+        return {i: rdd.getStorageLevel() for i, rdd in spark.sparkContext._jsc.getPersistentRDDs().items()}
+
+    rows = spark.createDataFrame([(u, (u * 7 + i) % 30, 1.0 + i) for u in range(20) for i in range(6)], "user long, item long, rating double")
+    before = held()
+    points, levels, fit = tuning.grid(rank=[2], regParam=[0.1], alpha=[1.0]), [], factors.fit_als
+
+    def watched(*args, **options):
+        model = fit(*args, **options)
+        levels.extend(level for i, level in held().items() if i not in before)
+        return model
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(factors, "fit_als", watched)
+        factors.search_als(rows, ["user", "item"], points, folds=2, k=5)
+    assert levels and all(level.useDisk() and not level.useMemory() for level in levels)
+
+
+def test_factor_models_of_many_rows_are_fitted_one_at_a_time(spark, tmp_path, monkeypatch):
+    seen = []
+
+    class Empty:
+        path = str(tmp_path)
+
+    def search(*_, parallelism, **__):
+        seen.append(parallelism)
+        raise tuning.Unfinished(Empty, 0, 1)
+
+    monkeypatch.setattr(model_queries.factors, "search_als", search)
+    monkeypatch.setattr(model_queries.tuning, "ledger_means", lambda *_: None)
+    monkeypatch.setattr(model_queries, "FITTED_ROWS", 100, raising=False)
+    for rows in (0, 25, 26, 50, 51, 1000):
+        data = model_queries.recommender.Prepared(None, spark.range(rows), None, None)
+        monkeypatch.setattr(model_queries, "prepared", lambda *_, data=data: data)
+        model_queries.als_search(spark, str(tmp_path))
+    assert seen == [4, 4, 3, 2, 1, 1]
